@@ -122,36 +122,44 @@ def _with_regression_sums(df: DataFrame) -> DataFrame:
     })
 
 
-def forecast_linear(arrays: DataFrame, steps: int = 12, min_points: int = 6) -> DataFrame:
-    """Least squares on x = 0..n-1 (n >= 6), extrapolated ``steps`` months,
-    clipped at 0 and rounded half-to-even (exact rational arithmetic)."""
-    df = _with_regression_sums(arrays.where(F.size("y_u") >= min_points))
-    df = df.withColumns({
+def _steps_frame(arrays: DataFrame, steps: int, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Regression sums per SKU, then one row per (SKU, step)."""
+    df = _with_regression_sums(arrays).withColumns({
         "_dd": E("_n * _sxx - _sx * _sx"),
         "_nn": E("_n * _sxy - _sx * _sy"),
     })
-    df = df.select("sku", "last_mi", "_n", "_sx", "_sy", "_dd", "_nn",
-                   F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"))
+    return df.select("sku", "last_mi", "y_u", "_n", "_sx", "_sy", "_dd", "_nn", *extra,
+                     F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"))
+
+
+def _linear_qty(min_points: int = 6) -> Column:
     num = "(_sy * _dd + _nn * (_n * (_n - 1 + step) - _sx))"
     den = f"(_n * _dd * {QTY_SCALE})"
+    return F.when(F.size("y_u") >= min_points, E(round_half_even_ratio_sql(num, den)).cast("long"))
+
+
+def _last_year_qty(min_points: int = 12) -> Column:
+    num = f"(element_at(y_u, size(y_u) - 12 + ((step - 1) % 12) + 1) * 11)"
+    return F.when(F.size("y_u") >= min_points,
+                  E(round_half_even_ratio_sql(num, f"{QTY_SCALE * 10}")).cast("long"))
+
+
+def _finish(df: DataFrame, qty: Column, method: Column) -> DataFrame:
     return df.select(
         "sku", "step",
         month_end_of_index(F.col("last_mi") + F.col("step")).alias("forecast_date"),
-        E(round_half_even_ratio_sql(num, den)).cast("long").alias("forecast_qty"),
-        F.lit("linear").alias("method"))
+        qty.alias("forecast_qty"), method.alias("method")).where(F.col("forecast_qty").isNotNull())
+
+
+def forecast_linear(arrays: DataFrame, steps: int = 12, min_points: int = 6) -> DataFrame:
+    """Least squares on x = 0..n-1 (n >= 6), extrapolated ``steps`` months,
+    clipped at 0 and rounded half-to-even (exact rational arithmetic)."""
+    return _finish(_steps_frame(arrays, steps), _linear_qty(min_points), F.lit("linear"))
 
 
 def forecast_last_year(arrays: DataFrame, steps: int = 12, min_points: int = 12) -> DataFrame:
     """Last 12 monthly values x 1.1, cycled to ``steps``; clip 0; half-even."""
-    df = arrays.where(F.size("y_u") >= min_points).select(
-        "sku", "last_mi", "y_u", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"))
-    base = E("element_at(y_u, size(y_u) - 12 + ((step - 1) % 12) + 1)")
-    df = df.withColumn("_num", base * F.lit(11))
-    return df.select(
-        "sku", "step",
-        month_end_of_index(F.col("last_mi") + F.col("step")).alias("forecast_date"),
-        E(round_half_even_ratio_sql("_num", f"{QTY_SCALE * 10}")).cast("long").alias("forecast_qty"),
-        F.lit("last_year").alias("method"))
+    return _finish(_steps_frame(arrays, steps), _last_year_qty(min_points), F.lit("last_year"))
 
 
 # T6 / T7 ------------------------------------------------------------------
@@ -167,23 +175,28 @@ def apply_cap(forecasts: DataFrame, caps: DataFrame) -> DataFrame:
 def forecast_chain(arrays: DataFrame, method: str = "linear", steps: int = 12) -> DataFrame:
     """Fallback chain SARIMA -> linear -> last year, recording the method.
 
-    ``method='linear'`` (the deterministic chain used by the oracle) starts
-    at the linear step; ``'auto'`` tries SARIMA first.
+    Evaluated per SKU row in one pass (no union, no anti join): each step
+    takes the first method that produced a value. ``method='linear'`` (the
+    deterministic chain the oracle checks) starts at the linear step;
+    ``'auto'`` first tries SARIMA (``mapInPandas`` over the same rows).
     """
-    linear = forecast_linear(arrays, steps)
-    last_year = forecast_last_year(arrays, steps)
+    extra: tuple[str, ...] = ()
     if method == "auto":
-        from stockwise.operators.sarima import forecast_sarima
-        sar = forecast_sarima(arrays, steps)
-        chain = sar.unionByName(linear.join(sar.select("sku").distinct(), "sku", "left_anti"))
-    elif method == "linear":
-        chain = linear
-    elif method == "last_year":
-        return last_year
-    else:
+        from stockwise.operators.sarima import with_sarima
+
+        arrays = with_sarima(arrays, steps)
+        extra = ("sarima",)
+    elif method not in ("linear", "last_year"):
         raise ValueError(method)
-    # Previous-year step only for SKUs the earlier methods did not cover.
-    return chain.unionByName(last_year.join(chain.select("sku").distinct(), "sku", "left_anti"))
+    df = _steps_frame(arrays, steps, extra)
+    lin, ly = _linear_qty(), _last_year_qty()
+    if method == "last_year":
+        return _finish(df, ly, F.lit("last_year"))
+    sar = F.element_at("sarima", F.col("step")) if method == "auto" else F.lit(None).cast("long")
+    qty = F.coalesce(sar, lin, ly)
+    which = (F.when(sar.isNotNull(), "sarima").when(lin.isNotNull(), "linear")
+             .when(ly.isNotNull(), "last_year"))
+    return _finish(df, qty, which)
 
 
 def run_forecasts(si: DataFrame, as_of, method: str = "linear", steps: int = 12) -> DataFrame:

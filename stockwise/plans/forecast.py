@@ -485,3 +485,16 @@ SELECT product_id, location_id, sum(quantity) AS quantity, DATE '2001-08-15' AS
 FROM inventory_quant GROUP BY 1, 2""")
 def o15_snapshot(spark, sf_dir):
     return INV.daily_stock_snapshot(views(spark, sf_dir).inventory_quant, AS_OF)
+
+
+# ---- SARIMA (rows-only in the driver; own numeric test in tests/) ----------
+@register("T3_forecast_sarima")
+def t3_sarima(spark, sf_dir):
+    arrays = T.quality_filter(_arrays(spark, sf_dir)).where(F.col("reject_reason").isNull())
+    from stockwise.operators.sarima import forecast_sarima
+    return forecast_sarima(arrays.select("sku", "first_mi", "last_mi", "y_u"))
+
+
+@register("T7_run_forecasts_auto")
+def t7_auto(spark, sf_dir):
+    return T.run_forecasts(views(spark, sf_dir).sales_items, AS_OF, method="auto")
