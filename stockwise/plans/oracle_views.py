@@ -124,7 +124,7 @@ FROM (
 ) x JOIN part c ON c.p_partkey = x.product_id + x.k""",
     "inventory_quant": """
 SELECT l_partkey AS product_id, l_suppkey AS location_id,
-       CAST(sum(CASE l_returnflag WHEN 'A' THEN l_quantity WHEN 'R' THEN -l_quantity ELSE 0 END) AS DOUBLE)
+       CAST(sum(CASE l_returnflag WHEN 'A' THEN l_quantity WHEN 'R' THEN -l_quantity ELSE 0 END) AS DOUBLE) / 16
          AS quantity,
        CAST(sum(CASE WHEN l_linestatus = 'O' AND l_returnflag = 'A' THEN 1 ELSE 0 END) AS DOUBLE)
          AS reserved_quantity

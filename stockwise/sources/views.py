@@ -247,7 +247,7 @@ class Views:
                      .alias("reserved_quantity"))
                 .select(F.col("l_partkey").alias("product_id"),
                         F.col("l_suppkey").alias("location_id"),
-                        E("CAST(quantity AS DOUBLE)").alias("quantity"),
+                        E("CAST(quantity AS DOUBLE) / 16").alias("quantity"),
                         E("CAST(reserved_quantity AS DOUBLE)").alias("reserved_quantity")))
 
     @cached_property
