@@ -88,8 +88,9 @@ def main() -> int:
             print(f"OK    {name}: {len(a)} rows ({ts:.1f}s)")
         else:
             bad += 1
-            diff_a = [r for r in a if r not in set(b)][:3]
-            diff_b = [r for r in b if r not in set(a)][:3]
+            sa, sb = set(a), set(b)
+            diff_a = [r for r in a if r not in sb][:3]
+            diff_b = [r for r in b if r not in sa][:3]
             print(f"FAIL  {name}: rows spark={len(a)} oracle={len(b)} cols={sorted(scols)}\n"
                   f"      spark-only {diff_a}\n      oracle-only {diff_b}")
     print(f"{bad} failing")

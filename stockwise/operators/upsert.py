@@ -78,7 +78,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Seq
     if update_cols is not None:
         keep_from_target |= {c for c in cols if c not in keys and c not in update_cols}
     tgt_keep = [c for c in cols if c in keep_from_target or c == updated_at]
-    t_side = target.select(*keys, *[F.col(c).alias(f"__t_{c}") for c in tgt_keep], F.lit(True).alias("__exists"))
+    # One target row per key (a target with repeated keys must not multiply rows).
+    t_one = dedup_keep_last(target, keys, order) if order else target.dropDuplicates(list(keys))
+    t_side = t_one.select(*keys, *[F.col(c).alias(f"__t_{c}") for c in tgt_keep], F.lit(True).alias("__exists"))
     joined = src.join(t_side, list(keys), "left")
     out_cols = []
     for c in cols:
