@@ -1,3 +1,3 @@
 """Imports every plan module so their queries register."""
 
-from stockwise.plans import analytics, files, forecast, integrity, nested, procurement, search, sync  # noqa: F401
+from stockwise.plans import analytics, files, forecast, integrity, nested, procurement, search, streams, sync  # noqa: F401,E501
