@@ -60,7 +60,7 @@ def neg_loglik(params: np.ndarray, w: np.ndarray) -> float:
     return 0.5 * (m * np.log(ss / m) + logdet)
 
 
-def nelder_mead(fun, x0: np.ndarray, max_iter: int = MAX_ITER, ftol: float = 1e-7, xtol: float = 1e-5):
+def nelder_mead(fun, x0: np.ndarray, max_iter: int = MAX_ITER, ftol: float = 1e-6, xtol: float = 1e-4):
     """Plain Nelder-Mead; returns (x, converged)."""
     n = len(x0)
     simplex = [x0] + [x0 + np.eye(n)[i] * 0.25 for i in range(n)]
