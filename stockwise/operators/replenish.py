@@ -66,7 +66,7 @@ def priority_rank(p) -> Column:
 
 
 # O4 -------------------------------------------------------------------------
-def forecast_plan(month_forecast: DataFrame, stock: DataFrame, caps: DataFrame, prices: DataFrame,
+def forecast_plan(month_forecast: DataFrame, stock: DataFrame, caps: DataFrame | None, prices: DataFrame | None,
                   boms: DataFrame, year: int, month: int, rule: str = "reference") -> DataFrame:
     """Month forecast ⋈ stock (found only) ⋈ cap ⋈ price ⋈ has_bom.
 
@@ -74,11 +74,15 @@ def forecast_plan(month_forecast: DataFrame, stock: DataFrame, caps: DataFrame,
     Sorted by priority severity then required production (desc).
     """
     st = stock.where(F.col("found")).select("sku", F.col("qty_available").alias("current_stock"))
-    df = (month_forecast.select("sku", "forecast_qty")
-          .join(st, "sku")
-          .join(caps, "sku", "left")
-          .join(prices, "sku", "left")
-          .join(boms, "sku", "left"))
+    # With caps / prices None the month forecast already carries
+    # max_monthly_sales and unit_price (single-pass profile path).
+    carried = [c for c in ("max_monthly_sales", "unit_price") if c in month_forecast.columns]
+    df = month_forecast.select("sku", "forecast_qty", *carried).join(st, "sku")
+    if caps is not None:
+        df = df.join(caps, "sku", "left")
+    if prices is not None:
+        df = df.join(prices, "sku", "left")
+    df = df.join(boms, "sku", "left")
     cap = F.coalesce("max_monthly_sales", F.lit(0)).cast("long")
     df = df.withColumn("max_monthly_sales", cap)
     df = df.withColumn("forecasted_qty", limited_forecast("forecast_qty", "max_monthly_sales"))

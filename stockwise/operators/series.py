@@ -57,7 +57,7 @@ def sku_month_arrays(sales: DataFrame) -> DataFrame:
     return per_sku.select(
         "sku", "first_mi", "last_mi",
         E(f"transform(sequence(first_mi, last_mi), i -> "
-          f"CAST(round(coalesce(m[i], 0D) * {QTY_SCALE}) AS DECIMAL(38,0)))").alias("y_u"))
+          f"CAST(round(coalesce(m[i], 0D) * {QTY_SCALE}) AS BIGINT))").alias("y_u"))
 
 
 def monthly_series(arrays: DataFrame) -> DataFrame:
@@ -72,10 +72,8 @@ def monthly_series(arrays: DataFrame) -> DataFrame:
 def series_stats(arrays: DataFrame) -> DataFrame:
     n = F.size("y_u")
     zeros = F.size(F.filter("y_u", lambda v: v == 0))
-    total = F.aggregate("y_u", F.lit(0).cast("decimal(38,0)"), lambda a, v: a + v)
-    return arrays.select(
-        "sku", "first_mi", "last_mi", "y_u",
-        n.alias("n_months"), zeros.alias("n_zero"), total.alias("total_u"))
+    total = F.aggregate("y_u", F.lit(0).cast("long"), lambda a, v: a + v)
+    return arrays.select("*", n.alias("n_months"), zeros.alias("n_zero"), total.alias("total_u"))
 
 
 def quality_filter(arrays: DataFrame, min_span: int = 24, max_zero_share: float = 0.7,
@@ -110,23 +108,25 @@ def round_half_even_ratio_sql(num: str, den: str, idiv: str = "div") -> str:
 
 # T4 / T5 --------------------------------------------------------------------
 def _with_regression_sums(df: DataFrame) -> DataFrame:
-    """n, Σx, Σx², Σy, Σxy over x = 0..n-1 as DECIMAL(38,0)."""
-    d = "DECIMAL(38,0)"
+    """n, Σx, Σx², Σy, Σxy over x = 0..n-1 as BIGINT (exact for any
+    realistic span and volume); the products that could exceed 64 bits are
+    formed in DECIMAL(38,0) below."""
     return df.withColumns({
-        "_n": E(f"CAST(size(y_u) AS {d})"),
-        "_sx": E(f"CAST(size(y_u) * (size(y_u) - 1) div 2 AS {d})"),
-        "_sxx": E(f"CAST((size(y_u) - 1) * size(y_u) * (2 * size(y_u) - 1) div 6 AS {d})"),
-        "_sy": E(f"aggregate(y_u, CAST(0 AS {d}), (a, v) -> a + v)"),
-        "_sxy": E(f"aggregate(zip_with(y_u, sequence(0, size(y_u) - 1), (v, i) -> v * i), "
-                  f"CAST(0 AS {d}), (a, v) -> a + v)"),
+        "_n": E("CAST(size(y_u) AS BIGINT)"),
+        "_sx": E("CAST(size(y_u) AS BIGINT) * (size(y_u) - 1) div 2"),
+        "_sxx": E("CAST(size(y_u) - 1 AS BIGINT) * size(y_u) * (2 * size(y_u) - 1) div 6"),
+        "_sy": E("aggregate(y_u, CAST(0 AS BIGINT), (a, v) -> a + v)"),
+        "_sxy": E("aggregate(zip_with(y_u, sequence(0, size(y_u) - 1), (v, i) -> v * i), "
+                  "CAST(0 AS BIGINT), (a, v) -> a + v)"),
     })
 
 
 def _steps_frame(arrays: DataFrame, steps: int, extra: tuple[str, ...] = ()) -> DataFrame:
     """Regression sums per SKU, then one row per (SKU, step)."""
+    d = "DECIMAL(38,0)"
     df = _with_regression_sums(arrays).withColumns({
-        "_dd": E("_n * _sxx - _sx * _sx"),
-        "_nn": E("_n * _sxy - _sx * _sy"),
+        "_dd": E(f"CAST(_n AS {d}) * _sxx - CAST(_sx AS {d}) * _sx"),
+        "_nn": E(f"CAST(_n AS {d}) * _sxy - CAST(_sx AS {d}) * _sy"),
     })
     return df.select("sku", "last_mi", "y_u", "_n", "_sx", "_sy", "_dd", "_nn", *extra,
                      F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"))
@@ -144,9 +144,9 @@ def _last_year_qty(min_points: int = 12) -> Column:
                   E(round_half_even_ratio_sql(num, f"{QTY_SCALE * 10}")).cast("long"))
 
 
-def _finish(df: DataFrame, qty: Column, method: Column) -> DataFrame:
+def _finish(df: DataFrame, qty: Column, method: Column, carry: tuple[str, ...] = ()) -> DataFrame:
     return df.select(
-        "sku", "step",
+        "sku", "step", *carry,
         month_end_of_index(F.col("last_mi") + F.col("step")).alias("forecast_date"),
         qty.alias("forecast_qty"), method.alias("method")).where(F.col("forecast_qty").isNotNull())
 
@@ -172,7 +172,8 @@ def apply_cap(forecasts: DataFrame, caps: DataFrame) -> DataFrame:
     ).drop("max_monthly_sales")
 
 
-def forecast_chain(arrays: DataFrame, method: str = "linear", steps: int = 12) -> DataFrame:
+def forecast_chain(arrays: DataFrame, method: str = "linear", steps: int = 12,
+                   carry: tuple[str, ...] = ()) -> DataFrame:
     """Fallback chain SARIMA -> linear -> last year, recording the method.
 
     Evaluated per SKU row in one pass (no union, no anti join): each step
@@ -188,15 +189,28 @@ def forecast_chain(arrays: DataFrame, method: str = "linear", steps: int = 12) -
         extra = ("sarima",)
     elif method not in ("linear", "last_year"):
         raise ValueError(method)
-    df = _steps_frame(arrays, steps, extra)
+    df = _steps_frame(arrays, steps, extra + tuple(carry))
     lin, ly = _linear_qty(), _last_year_qty()
     if method == "last_year":
-        return _finish(df, ly, F.lit("last_year"))
+        return _finish(df, ly, F.lit("last_year"), carry)
     sar = F.element_at("sarima", F.col("step")) if method == "auto" else F.lit(None).cast("long")
     qty = F.coalesce(sar, lin, ly)
     which = (F.when(sar.isNotNull(), "sarima").when(lin.isNotNull(), "linear")
              .when(ly.isNotNull(), "last_year"))
-    return _finish(df, qty, which)
+    return _finish(df, qty, which, carry)
+
+
+def forecasts_from_profile(profile: DataFrame, method: str = "linear", steps: int = 12) -> DataFrame:
+    """T7 over the single-pass SKU profile: valid SKUs -> quality gate ->
+    chain -> cap, carrying the cap and price columns along (no joins)."""
+    arrays = profile.where(F.col("valid")).select("sku", "first_mi", "last_mi", "y_u", "max_monthly_sales",
+                                                  "unit_price")
+    passed = quality_filter(arrays).where(F.col("reject_reason").isNull()).select(
+        "sku", "first_mi", "last_mi", "y_u", "max_monthly_sales", "unit_price")
+    fc = forecast_chain(passed, method, steps, carry=("max_monthly_sales", "unit_price"))
+    cap = F.col("max_monthly_sales")
+    return fc.withColumn("forecast_qty", F.when(cap > 0, F.least("forecast_qty", cap))
+                         .otherwise(F.col("forecast_qty")))
 
 
 def run_forecasts(si: DataFrame, as_of, method: str = "linear", steps: int = 12) -> DataFrame:
@@ -217,9 +231,10 @@ def sanitize_skus(df: DataFrame, column: str = "sku") -> DataFrame:
 
 def forecast_for(forecasts: DataFrame, year: int, month: int) -> DataFrame:
     target = dt.date(year, month, 1)
+    carried = [c for c in ("max_monthly_sales", "unit_price") if c in forecasts.columns]
     return (forecasts.where(F.trunc("forecast_date", "month") == F.lit(target))
             .select("sku", F.greatest(F.col("forecast_qty"), F.lit(0)).cast("long").alias("forecast_qty"),
-                    "method"))
+                    "method", *carried))
 
 
 def calendar_columns(df: DataFrame, date_col: str = "forecast_date") -> DataFrame:

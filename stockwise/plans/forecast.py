@@ -174,9 +174,16 @@ def _arrays(spark, sf_dir):
     return T.sku_month_arrays(T.forecast_sales(v.sales_items, AS_OF))
 
 
+def _profile_forecasts(spark, sf_dir):
+    """Single-pass path: one scan of sales_items feeds validity, series, cap
+    and price (see operators/profile.py)."""
+    from stockwise.operators.profile import sku_profile
+
+    return T.forecasts_from_profile(sku_profile(views(spark, sf_dir).sales_items, AS_OF), method="linear")
+
+
 def _capped(spark, sf_dir):
-    v = views(spark, sf_dir)
-    return T.run_forecasts(v.sales_items, AS_OF, method="linear")
+    return _profile_forecasts(spark, sf_dir).drop("max_monthly_sales", "unit_price")
 
 
 def _stock(spark, sf_dir):
@@ -185,6 +192,14 @@ def _stock(spark, sf_dir):
 
 
 def _plan(spark, sf_dir, rule="reference", year=PLAN_YEAR, month=PLAN_MONTH):
+    v = views(spark, sf_dir)
+    mf = T.forecast_for(_profile_forecasts(spark, sf_dir), year, month)   # carries cap and price
+    return R.forecast_plan(mf, _stock(spark, sf_dir), None, None, INV.has_bom(v.product, v.bom_line),
+                           year, month, rule=rule)
+
+
+def _plan_joined(spark, sf_dir, rule="reference", year=PLAN_YEAR, month=PLAN_MONTH):
+    """The same plan assembled from the standalone operators."""
     v = views(spark, sf_dir)
     fc = T.run_forecasts(v.sales_items, AS_OF, method="linear")
     mf = T.forecast_for(fc, year, month)
@@ -229,6 +244,11 @@ def t6_chain(spark, sf_dir):
     return _capped(spark, sf_dir)
 
 
+@register("T7_run_forecasts_linear_operators", oracle="SELECT * FROM capped", extra_ctes=_sel("capped"))
+def t7_linear(spark, sf_dir):
+    return T.run_forecasts(views(spark, sf_dir).sales_items, AS_OF, method="linear")
+
+
 @register("T8_sanitize_skus", oracle="""
 SELECT trim(items_product_sku) AS sku FROM (SELECT DISTINCT items_product_sku FROM sales_items) t
 WHERE trim(items_product_sku) <> '' AND lower(trim(items_product_sku)) NOT IN ('false', 'true', 'none', 'nan', 'null')""")
@@ -354,6 +374,11 @@ def o4_plan(spark, sf_dir):
     return _plan(spark, sf_dir)
 
 
+@register("O4_forecast_plan_joined_operators", oracle=_plan_sql(PY_PRIORITY), extra_ctes=_sel("plan_in"))
+def o4_plan_joined(spark, sf_dir):
+    return _plan_joined(spark, sf_dir)
+
+
 @register("O3_forecast_plan_sql_rule", oracle=_plan_sql(SQL_PRIORITY), extra_ctes=_sel("plan_in"))
 def o3_plan_sql(spark, sf_dir):
     return _plan(spark, sf_dir, rule="sql")
