@@ -41,18 +41,23 @@ def main() -> None:
     from stockwise.plans.common import views
     views(spark, sf_dir).sales_items.count()
     prep = time.time() - t0
-    times: dict[str, float] = {}
+    # Each query runs twice: the first (cold) run pays JVM class loading and
+    # JIT compilation of its operators; the second (warm) run is reported as
+    # the headline number. Cold times are reported too.
+    cold: dict[str, float] = {}
+    warm: dict[str, float] = {}
     for name in HEADLINE:
         if name not in reg:
             continue
-        t = time.time()
-        reg[name].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t, 3)
-    total = round(sum(times.values()), 3)
+        for store in (cold, warm):
+            t = time.time()
+            reg[name].fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            store[name] = round(time.time() - t, 3)
+    total = round(sum(warm.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec",
-                      "queries": times, "prepare_sales_items_sec": round(prep, 3), "sf": sf,
-                      "cpus": cpus}))
+    print(json.dumps({"metric": "headline_queries_total_warm", "value": total, "unit": "sec",
+                      "queries": warm, "cold_queries": cold, "cold_total": round(sum(cold.values()), 3),
+                      "prepare_sales_items_sec": round(prep, 3), "sf": sf, "cpus": cpus}))
 
 
 if __name__ == "__main__":

@@ -50,8 +50,11 @@ def sku_profile(si: DataFrame, as_of) -> DataFrame:
         F.max("q_cap").alias("cap_q"), F.max("price_key").alias("price_key"),
         F.sum("p6_sum").alias("p6_sum"), F.sum("p6_n").alias("p6_n"))
     # NOT IN semantics of the reference: a raw-material row with a NULL SKU
-    # empties the valid set (scalar subquery over the small per-SKU table).
-    null_raw = per.where(F.col("sku").isNull() & F.col("raw")).select(F.count(F.lit(1))).scalar()
+    # empties the valid set. Evaluated as a scalar subquery on the fact table
+    # (the IS NULL filter is pushed to Parquet, so row groups without NULL
+    # SKUs are skipped) instead of recomputing the profile.
+    null_raw = (si.where(F.col("items_product_sku").isNull() & raw_material_condition())
+                .select(F.count(F.lit(1))).scalar())
     avg6 = F.when(F.col("p6_n") > 0, E("((2 * p6_sum + p6_n) div (2 * p6_n)) / 100D"))
     return per.select(
         "sku", "first_mi", "last_mi",

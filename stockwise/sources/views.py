@@ -71,9 +71,12 @@ class Views:
     def sales_items_plan(self) -> DataFrame:
         """One row per order line in the 18-column sales_items shape."""
         t = self.t
+        # Hash-partition the fact side on the order key: at scale this is the
+        # exchange the lineitem x orders sort-merge join needs anyway, and it
+        # spreads single-file inputs over all cores.
         lines = t.lineitem.select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-            "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+            "l_quantity", "l_extendedprice", "l_discount", "l_tax").repartition("l_orderkey")
         orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
         cust = t.customer.select("c_custkey", "c_name", "c_mktsegment")
         part = t.part.select("p_partkey", "p_name", "p_type", "p_size")
