@@ -1,3 +1,4 @@
 """Imports every plan module so their queries register."""
 
-from stockwise.plans import analytics, files, forecast, integrity, nested, procurement, search, streams, sync  # noqa: F401,E501
+from stockwise.plans import (  # noqa: F401
+    analytics, catalogue, files, forecast, integrity, nested, procurement, search, streams, sync)
