@@ -3,15 +3,15 @@
 Parquet has no MERGE, so an upsert is computed as a DataFrame
     latest(source) per key  ∪  target rows whose key is not in source
 (one shuffle on the key for each side) and written as a new version
-directory; a small pointer file names the current version, so readers
-never see a half-written table and the path being read is never
+directory ``v=N``; the current version is the highest one whose
+``_SUCCESS`` marker exists (listed through the Hadoop FileSystem API), so
+readers never see a half-written table and the path being read is never
 overwritten. Re-running the same upsert yields the same table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -188,35 +188,40 @@ def add_surrogate_id(df: DataFrame, key: str, name: str = "id") -> DataFrame:
 
 
 # versioned table protocol -------------------------------------------------------------
-def write_versioned(df: DataFrame, base: str) -> str:
-    """Write ``df`` as a new version under ``base`` and move the pointer."""
-    current = current_version(base)
-    nxt = 0 if current is None else current + 1
-    path = f"{base.rstrip('/')}/v={nxt}"
+def write_versioned(df: DataFrame, base: str, version: int | None = None) -> str:
+    """Write ``df`` as version ``version`` (default: current + 1) under
+    ``base``. A version becomes current only when its ``_SUCCESS`` marker
+    (written last by the output committer) exists, so readers never see a
+    partial table and the version being read is never overwritten."""
+    spark = df.sparkSession
+    if version is None:
+        current = current_version(spark, base)
+        version = 0 if current is None else current + 1
+    path = f"{base.rstrip('/')}/v={version}"
     df.write.mode("overwrite").parquet(path)
-    _write_pointer(df.sparkSession, base, nxt)
     return path
 
 
-def current_version(base: str) -> int | None:
-    ptr = os.path.join(base.replace("file:", ""), "_CURRENT")
-    if not os.path.exists(ptr):
+def current_version(spark: SparkSession, base: str) -> int | None:
+    """Highest committed version under ``base`` (Hadoop FileSystem API, so
+    it works on HDFS / object stores as well as local paths)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
         return None
-    with open(ptr) as fh:
-        return int(fh.read().strip())
-
-
-def _write_pointer(spark: SparkSession, base: str, version: int) -> None:
-    local = base.replace("file:", "")
-    os.makedirs(local, exist_ok=True)
-    tmp = os.path.join(local, "_CURRENT.tmp")
-    with open(tmp, "w") as fh:
-        fh.write(str(version))
-    os.replace(tmp, os.path.join(local, "_CURRENT"))
+    versions = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("v=") and name[2:].isdigit() and fs.exists(
+                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            versions.append(int(name[2:]))
+    return max(versions) if versions else None
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame:
-    v = current_version(base)
+    v = current_version(spark, base)
     if v is None:
         raise FileNotFoundError(base)
     return spark.read.parquet(f"{base.rstrip('/')}/v={v}")

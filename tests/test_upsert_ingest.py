@@ -68,7 +68,7 @@ def test_versioned_write_roundtrip(spark):
     df = spark.createDataFrame([(1,)], "a int")
     U.write_versioned(df, base)
     U.write_versioned(df.union(df), base)
-    assert U.current_version(base) == 1
+    assert U.current_version(spark, base) == 1
     assert U.read_current(spark, base).count() == 2
 
 
