@@ -241,6 +241,13 @@ class Views:
     # ---------------------------------------------------------- inventory
     @cached_property
     def inventory_quant(self) -> DataFrame:
+        """Stock quants (a stored table in the reference), materialised once."""
+        if not self._materialise_sales:
+            return self.inventory_quant_plan
+        return materialise(self.inventory_quant_plan, (self.sf_dir, "inventory_quant"), sort_col="product_id")
+
+    @cached_property
+    def inventory_quant_plan(self) -> DataFrame:
         """Stock per (product, location): signed returned/accepted lines."""
         l = self.t.lineitem.select("l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")
         return (l.groupBy("l_partkey", "l_suppkey")
