@@ -25,8 +25,8 @@ def _names() -> list[str]:
     if os.environ.get("STOCKWISE_FULL_PLAN_GUARDS"):
         return names        # every registered plan (about 5 minutes; all passed in round 1)
     seen, picked = set(), []
-    for n in names:         # default: the first query of every operator ID
-        key = n.split("_")[0]
+    for n in names:         # default: the first query of every operator family (A, C, D, ...)
+        key = re.match(r"[A-Z]+", n).group(0)
         if key not in seen:
             seen.add(key)
             picked.append(n)
