@@ -8,9 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stockwise.llm.common import documents
+from stockwise.llm import chat_format, license_scan
+from stockwise.llm.fingerprints import fingerprint_documents
 from stockwise.llm.ngram_join import near_duplicates
 from stockwise.llm.packing import pack
+from stockwise.llm.pii import replace_pii
+from stockwise.llm.quality_rules import quality_rules
+from stockwise.llm.sentencepiece_codec import encode
 from stockwise.llm.suffix_dedup import remove_repeats
+from stockwise.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,13 +32,22 @@ def query(oracle: str | None = None):
     return deco
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+@query(oracle=license_scan.oracle())
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(documents(spark, sf_dir))
+
+
 @query(oracle=r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                             '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM documents),
+                             '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5
-           THEN list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))
+           THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
            WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
 n AS (SELECT w.doc_id, count(g) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY 1),
 i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
@@ -50,6 +65,43 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir), 400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query()
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir), labels(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+@query()
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+
+
+@query(oracle=chat_format.ORACLE)
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    tricky = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    return chat_format.digests(chat_format.format_chats(chat_format.records(rows.unionByName(more))))
+
+
+@query()
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(documents(spark, sf_dir))
+
+
+SURROGATE_KEY = "corpus-surrogates-1"     # a run's secret in production
+
+
+@query()
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_pii(documents(spark, sf_dir).select("doc_id", "text"), SURROGATE_KEY)
+
+
+@query()
+def op9_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 @query()
 def op10_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), 2048)
