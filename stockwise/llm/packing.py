@@ -29,9 +29,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockwise.llm.chunks import ChunkTable, chunk_array, slices, text_bytes
+
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, sequence_tokens long, sequence_cost double")
-SLICE_BYTES = 4 << 20       # text tokenised at once
+SLICE_BYTES = 8 << 20       # text tokenised at once
 CACHE_CHUNKS = 1_200_000    # distinct chunks a worker keeps; beyond that it starts anew
 BLOCK_TOKENS = 4 << 20      # tail tokens packed together
 
@@ -108,31 +110,16 @@ class ChunkEncoder:
         special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
         ranks = {bytes(BYTE_OF[c] for c in piece): i for piece, i in self.tok.get_vocab().items() if piece not in special}
         self.quick = tiktoken.Encoding("quick", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 14, np.int64)     # of chunk i in flat: ends[i] to ends[i + 1]
-
-    def _learn(self, chunks: list[str]) -> None:
-        n, encode = len(self.index), self.quick.encode_ordinary
-        found = [encode(c) for c in chunks]
-        self.index.update(zip(chunks, range(n, n + len(chunks))))
-        upto = self.ends[n] + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-        while n + len(chunks) >= len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        while upto[-1] > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.ends[n]:upto[-1]] = np.fromiter(chain.from_iterable(found), np.uint32, upto[-1] - self.ends[n])
-        self.ends[n + 1:n + 1 + len(chunks)] = upto
+        self.table = ChunkTable(self._learn, CACHE_CHUNKS)
+
+    def _learn(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        found = [self.quick.encode_ordinary(c) for c in chunks]
+        return chunks, np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts (large_string, no nulls), and the number of
         ids of each text."""
-        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
-        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
-        bounds = ends - ends[0]
+        data, bounds = text_bytes(texts)
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         cut = cuts(data)
@@ -140,25 +127,12 @@ class ChunkEncoder:
         starts = np.flatnonzero(cut)
         whole = np.zeros(len(texts), bool)
         whole[np.searchsorted(bounds, odd_spaces(data), "right") - 1] = True
-        chunks = pa.LargeStringArray.from_buffers(
-            len(starts), pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(np.ascontiguousarray(data)))
+        chunks = chunk_array(data, starts)
         per_text = np.diff(np.searchsorted(starts, bounds))
         if whole.any():     # only texts that are cut need their chunks
             chunks = chunks.filter(pa.array(np.repeat(~whole, per_text)))
             per_text[whole] = 0
-        coded = pc.dictionary_encode(chunks)
-        words = coded.dictionary.to_pylist()
-        if len(self.index) > CACHE_CHUNKS:
-            self._clear()
-        fresh = [w for w in words if w not in self.index]
-        if fresh:
-            self._learn(fresh)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        counts, firsts = np.diff(self.ends)[at], self.ends[at]
-        codes = np.asarray(coded.indices)
-        counts, firsts = counts[codes], firsts[codes]
-        upto = np.concatenate([[0], np.cumsum(counts)])
-        flat = self.flat[np.repeat(firsts - upto[:-1], counts) + np.arange(upto[-1])]
+        flat, upto = self.table.ids(chunks)
         sizes = np.diff(upto[np.concatenate([[0], np.cumsum(per_text)])])
         if whole.any():
             pieces, done = [], 0
@@ -183,19 +157,6 @@ def encoder(path: str) -> ChunkEncoder:
     return _ENCODERS[path]
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``limit`` bytes, one row at least."""
-    size = np.asarray(pc.binary_length(texts), np.int64)
-    start, total = 0, 0
-    for i, n in enumerate(size):
-        if total and total + n > limit:
-            yield start, i
-            start, total = i, 0
-        total += n
-    if start < len(size):
-        yield start, len(size)
-
-
 def place(lengths: np.ndarray, seq_len: int, linear: float, quadratic: float) -> tuple[list[tuple[int, int, int, int]], list[int], np.ndarray]:
     """Pack tails shorter than ``seq_len``: pieces (tail, start, length, bin),
     and the bins' sizes and costs."""
@@ -270,7 +231,7 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int
 
         for batch in batches:
             ids_of, texts = batch.column(0), pc.fill_null(batch.column(1).cast(pa.large_string()), "")
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, SLICE_BYTES):
                 flat, sizes = enc.encode(texts.slice(lo, hi - lo))
                 at, full = 0, []
                 for doc, n in zip(ids_of.slice(lo, hi - lo).to_pylist(), sizes):

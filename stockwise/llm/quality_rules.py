@@ -28,6 +28,7 @@ from stockwise.llm.common import let, stored
 
 BLANK = r"[ \t-\r]+"
 BINS = 32
+MAX_LABELLED = 20_000       # labelled rows that teach
 FEATURES = ["n_words", "word_length", "symbol_share", "upper_share", "mark_share", "dup_line_share", "repeat_share", "distinct_share"]
 
 
@@ -229,6 +230,6 @@ def judged(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFr
     return m.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0)).drop("m")
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """Learn from ``labels.quality`` (0: bad) and judge every document."""
     return judged(docs, learn(labelled_cases(docs, labels, max_labelled)))

@@ -10,8 +10,9 @@ exactly. Pieces never span words (a word starts at a space mark), as in the mode
 the format is used for.
 
 The pieces and scores come from a model file, a parameter. The given model was
-trained by merges; its scores are negative merge ranks, so the best-scoring
-segmentation need not be the one its merges would build.
+trained by merges; its scores are negative merge ranks. Sums of ranks mean little,
+so ranks become log-probabilities by the Zipf-Mandelbrot law, ``-log(rank + 100)``.
+The best segmentation need not be the one that the merges would build.
 
 Defined results: null text is empty and has no ids; a space mark inside a text is
 coded by byte pieces, so it survives; repeated rows are coded each; an empty table
@@ -29,13 +30,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockwise.llm.packing import slices
+from stockwise.llm.chunks import ChunkTable, chunk_array, ragged, slices, text_bytes
 from stockwise.llm.suffix_dedup import Prints
 
 U = np.uint64
 SPACE = "▁"
 BYTE_SCORE = -1e6       # a byte piece is taken only where no piece fits
-CACHE_WORDS = 400_000
+SENTINEL = -1e8
+FILTER_BITS = 20
+RANK_SHIFT = 100        # of the logarithm that makes merge ranks probabilities
+CACHE_WORDS = 800_000
 
 
 class Codec:
@@ -66,30 +70,57 @@ class Codec:
         keys = Prints(joined).wide(ends - size, ends) if normal else np.zeros(0, U)
         order = np.argsort(keys, kind="stable")
         self.keys = keys[order]
+        self.maybe = np.zeros(1 << FILTER_BITS, bool)       # spares most of the probes
+        self.maybe[self.keys >> U(64 - FILTER_BITS)] = True
         if len(np.unique(self.keys)) != len(self.keys):
             raise ValueError("two pieces share a hash")
         self.ids = np.array(normal, np.int64)[order]
-        self.scores = np.array([model.get_score(i) for i in normal])[order]
+        scores = np.array([model.get_score(i) for i in normal])[order]
+        # pieces that no merge makes carry a sentinel instead of a rank: they rank last
+        ranked = scores > SENTINEL
+        scores = np.where(ranked, scores, scores[ranked].min(initial=0.0) - 1)
+        self.scores = -np.log(RANK_SHIFT - scores) if (scores == np.round(scores)).all() else scores
         self.longest = int(size.max(initial=1))
-        self.cache: dict[bytes, np.ndarray] = {}
-
-    def words(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each word."""
-        fresh = [w for w in dict.fromkeys(words) if w not in self.cache]
-        if len(self.cache) + len(fresh) > CACHE_WORDS:
-            self.cache.clear()
-            fresh = list(dict.fromkeys(words))
-        by_size: dict[int, list[bytes]] = {}
-        for w in fresh:
-            by_size.setdefault(len(w), []).append(w)
-        for n, group in by_size.items():
-            for a in range(0, len(group), max(1, (1 << 21) // max(n, 1))):
-                part = group[a:a + max(1, (1 << 21) // max(n, 1))]
-                for w, ids in zip(part, self._viterbi(part, n)):
-                    self.cache[w] = ids
-        return [self.cache[w] for w in words]
-
-    def _viterbi(self, group: list[bytes], n: int) -> list[np.ndarray]:
+        # what an id stands for: a mark is a space, but not where byte pieces spell it
+        plain = [p.replace(mark, b" ") for p in self.pieces]
+        self.plain = np.frombuffer(b"".join(plain), np.uint8)
+        self.plain_ends = np.concatenate([[0], np.cumsum([len(p) for p in plain])])
+        self.table = ChunkTable(self._learn, CACHE_WORDS)
+
+    def _learn(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Ids of chunks in which a space stands for a mark; chunks of one length
+        go together."""
+        mark = SPACE.encode()
+        by_size: dict[int, tuple[list[str], list[bytes]]] = {}
+        odd = []
+        for chunk in chunks:
+            word = chunk.encode()
+            if mark in word:
+                odd.append(chunk)
+                continue
+            word = word.replace(b" ", mark)
+            group = by_size.setdefault(len(word), ([], []))
+            group[0].append(chunk)
+            group[1].append(word)
+        order, flat, count = [], [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for n, (names, words) in by_size.items():
+            step = max(1, (1 << 20) // max(n, 1))
+            for a in range(0, len(words), step):
+                ids, k = self._viterbi(words[a:a + step], n)
+                order += names[a:a + step]
+                flat.append(ids)
+                count.append(k)
+        spelled = self.bytes_of[np.frombuffer(mark, np.uint8)]
+        for chunk in odd:       # a mark of the text itself is spelled by byte pieces
+            parts = []
+            for i, word in enumerate(chunk.encode().split(mark)):
+                parts += [spelled] * (i > 0) + [self._viterbi([word.replace(b" ", mark)], len(word.replace(b" ", mark)))[0]]
+            order.append(chunk)
+            flat.append(np.concatenate(parts))
+            count.append(np.array([len(flat[-1])]))
+        return order, np.concatenate(flat), np.concatenate(count)
+
+    def _viterbi(self, group: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
         k = len(group)
         data = np.frombuffer(b"".join(group), np.uint8)
         prints, base = Prints(data), np.arange(k) * n
@@ -101,10 +132,14 @@ class Codec:
             score, step, piece = best[end - 1] + BYTE_SCORE, np.ones(k, np.int32), self.bytes_of[data[base + end - 1]]
             for size in range(1, min(end, self.longest) + 1):
                 key = prints.wide(base + end - size, base + end)
-                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                total = np.where(self.keys[at] == key, best[end - size] + self.scores[at], -np.inf)
-                better = total >= score
-                score, step, piece = np.where(better, total, score), np.where(better, size, step), np.where(better, self.ids[at], piece)
+                some = np.flatnonzero(self.maybe[key >> U(64 - FILTER_BITS)])
+                if not len(some):
+                    continue
+                at = np.minimum(np.searchsorted(self.keys, key[some]), len(self.keys) - 1)
+                total = best[end - size, some] + self.scores[at]
+                better = (self.keys[at] == key[some]) & (total >= score[some])
+                some, at = some[better], at[better]
+                score[some], step[some], piece[some] = total[better], size, self.ids[at]
             best[end], back[end], used[end] = score, step, piece
         # all words walk back together
         at, out = np.full(k, n), []
@@ -113,61 +148,32 @@ class Codec:
             out.append(np.where(at > 0, used[at, rows], -1))
             at = np.where(at > 0, at - back[at, rows], 0)
         if not out:
-            return [np.zeros(0, np.int64)] * k
+            return np.zeros(0, np.int64), np.zeros(k, np.int64)
         ids = np.stack(out[::-1], 1)
-        return [r[r >= 0] for r in ids]
-
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """Ids of each text (large_string, no nulls): a space becomes the mark
-        that starts the next word."""
-        out = []
-        mark = SPACE.encode()
-        for lo, hi in slices(texts, 8 << 20):
-            split = pc.split_pattern(texts.slice(lo, hi - lo), " ")
-            coded = pc.dictionary_encode(split.flatten())
-            known = [w.encode() for w in coded.dictionary.to_pylist()]
-            # a mark in the text itself must not read as a space
-            first = self._each(known, b"")
-            later = self._each(known, mark)
-            codes, at = np.asarray(coded.indices), 0
-            for n in np.asarray(pc.list_value_length(split)):
-                of = codes[at:at + n]
-                at += n
-                out.append(np.concatenate([first[of[0]], *(later[c] for c in of[1:])]) if n else np.zeros(0, np.int64))
-        return out
-
-    def _each(self, known: list[bytes], lead: bytes) -> list[np.ndarray]:
-        mark = SPACE.encode()
-        plain = self.words([lead + w if mark not in w else lead for w in known])
-        out = []
-        for w, ids in zip(known, plain):
-            if mark in w:
-                rest = []
-                for i, part in enumerate(w.split(mark)):
-                    if i:
-                        rest.append(self.bytes_of[np.frombuffer(mark, np.uint8)])
-                    rest.append(self.words([part])[0])
-                ids = np.concatenate([ids, *rest])
-            out.append(ids)
-        return out
-
-    def decode(self, ids: np.ndarray) -> str:
-        raw, out = [], []
-        mark = SPACE.encode()
-        for i in ids.tolist():
-            piece = self.pieces[i]
-            if i in self._byte_ids:
-                raw.append(piece)
-            else:
-                raw.append(piece.replace(mark, b" "))
-        out.append(b"".join(raw))
-        return b"".join(out).decode()
-
-    @property
-    def _byte_ids(self) -> set[int]:
-        if not hasattr(self, "_bytes"):
-            self._bytes = set(self.bytes_of.tolist())
-        return self._bytes
+        return ids[ids >= 0], (ids >= 0).sum(1)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (large_string, no nulls) joined, and where each
+        text's start and the last end. A space becomes the mark that starts the
+        next word; one mark leads each text, unless it is empty."""
+        lead = pc.if_else(pc.equal(pc.binary_length(texts), 0), pa.scalar("", texts.type), pa.scalar(" ", texts.type))
+        data, bounds = text_bytes(pc.binary_join_element_wise(lead, texts, pa.scalar("", texts.type)))
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
+        cut = (data == 32) | (data == 10)
+        cut[1:] |= data[:-1] == 10
+        starts = np.flatnonzero(cut)
+        flat, upto = self.table.ids(chunk_array(data, starts))
+        return flat, upto[np.searchsorted(starts, bounds)]
+
+    def decode(self, flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """Texts of joined ids (large_string)."""
+        raw, upto = ragged(self.plain, self.plain_ends, flat.astype(np.int64))
+        bounds = upto[ends]
+        keep = np.ones(len(raw), bool)
+        keep[bounds[:-1][bounds[:-1] < bounds[1:]]] = False        # the lead
+        cuts = np.concatenate([[0], np.cumsum(keep)])[bounds]
+        return pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(cuts), pa.py_buffer(raw[keep]))
 
 
 _CODECS: dict[str, Codec] = {}
@@ -189,13 +195,17 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
             texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
             for lo, hi in slices(texts, 8 << 20):
                 part = texts.slice(lo, hi - lo)
-                doc, ids = batch.column(0).slice(lo, hi - lo), c.encode(part)
+                doc = batch.column(0).slice(lo, hi - lo)
+                flat, ends = c.encode(part)
                 if digest:
+                    raw = flat.astype("<u4")
+                    crc = [zlib.crc32(raw[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:])]
                     yield pa.RecordBatch.from_arrays(
-                        [doc, pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
-                         pa.array([c.decode(x) == t for x, t in zip(ids, part.to_pylist())])], ["doc_id", "n_pieces", "ids_crc32", "decoded_equal"])
+                        [doc, pa.array(np.diff(ends)), pa.array(crc, pa.int64()), pc.equal(c.decode(flat, ends), part)],
+                        ["doc_id", "n_pieces", "ids_crc32", "decoded_equal"])
                 else:
-                    yield pa.RecordBatch.from_arrays([doc, pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))], ["doc_id", "ids"])
+                    yield pa.RecordBatch.from_arrays(
+                        [doc, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat.astype(np.int32)))], ["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, decoded_equal boolean" if digest else "doc_id long, ids array<int>")
@@ -207,7 +217,10 @@ def decode(coded: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
         for batch in batches:
-            texts = [None if x is None else c.decode(np.array(x, np.int64)) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+            lists = batch.column(1)
+            ends = np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(lists), 0), np.int64))])
+            texts = c.decode(np.asarray(lists.flatten(), np.int64), ends)
+            texts = pc.if_else(lists.is_null(), pa.scalar(None, texts.type), texts).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["doc_id", "text"])
 
     return coded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")

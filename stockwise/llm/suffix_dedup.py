@@ -37,6 +37,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from stockwise.llm.common import stored
@@ -167,12 +168,14 @@ def anchor_rows(data: np.ndarray, ends: np.ndarray, length: int) -> dict[str, np
             "right": right, "left": left}
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+NO_ID = -(1 << 62)      # k1 of rows without an id
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
     """Rows by (k1, k2): equal keys mean equal id and, but for chance, text."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    row_id = F.col(id_col).cast("long")
-    return docs.select(F.coalesce(row_id, F.lit(-(1 << 62))).alias("k1"), F.hash(text).alias("k2"),
-                       row_id.alias("doc_id"), text.alias("text"))
+    rest = [F.struct(*carry).alias("rest")] if carry else []
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("k1"), F.hash(text).alias("k2"), text.alias("text"), *rest)
 
 
 def _anchors(rows: DataFrame, length: int) -> DataFrame:
@@ -222,10 +225,11 @@ def _repeated_windows(windows: DataFrame, salted: bool) -> DataFrame:
     return found.unionByName(hot.where("n = 1 and own").join(across, name, "left_semi").select("k1", "k2", "at"))
 
 
-def repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of (k1, k2, doc_id, text, windows): the starts of the windows that
-    repeat, as runs ``[first, last]`` in any order, null where there are none."""
-    rows = _keyed(docs, id_col, text_col)
+def repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Rows of (k1, k2, text, windows) and the struct ``rest`` of columns to
+    carry: the starts of the windows that repeat, as runs ``[first, last]`` in any
+    order, null where there are none."""
+    rows = _keyed(docs, id_col, text_col, carry or [])
     anchors = stored(_anchors(rows, length), "anchors")
     same = ["gram", "span", "n_win"]
     spans = anchors.groupBy(*same).agg(
@@ -292,15 +296,19 @@ def _merged(runs: list[dict] | None, length: int) -> list[list[int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: (doc_id, text, n_bytes, n_removed, n_spans,
-    kept_sha256, kept_text). ``kept_text`` keeps a character whole if any of its
-    bytes stays, so that it is valid text; all else counts bytes."""
+def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """One row per input row: (doc_id, n_bytes, n_removed, n_spans, kept_sha256,
+    kept_text) and the struct ``rest`` of columns to carry. ``kept_text`` keeps a
+    character whole if any of its bytes stays, so that it is valid text; all else
+    counts bytes."""
+    found = repeats(docs, length, id_col, text_col, carry)
+    found = found.withColumn("doc_id", F.when(F.col("k1") != NO_ID, F.col("k1")))
+    rest = found.select("rest").schema.fields if carry else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "k2")}
-            for doc, k2, text, runs in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "k2", "text", "windows"))):
+            out: dict[str, list] = {c: [] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")}
+            for doc, text, runs in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "windows"))):
                 data, spans = text.encode(), _merged(runs, length)
                 kept, whole, at, put = [], [], 0, 0
                 for lo, hi in spans:
@@ -316,14 +324,16 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
                 kept.append(data[at:])
                 whole.append(data[put:])
                 out["doc_id"].append(doc)
-                out["k2"].append(k2)
                 out["n_bytes"].append(len(data))
                 out["n_removed"].append(sum(b - a for a, b in spans))
                 out["n_spans"].append(len(spans))
                 out["kept_sha256"].append(hashlib.sha256(b"".join(kept)).hexdigest())
                 out["kept_text"].append(b"".join(whole).decode())
-            types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], list(out))
-
-    return repeats(docs, length, id_col, text_col).select("doc_id", "k2", "text", "windows").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, k2 int")
+            types = [pa.int64()] * 4 + [pa.string()] * 2
+            arrays = [pa.array(v, t) for v, t in zip(out.values(), types)]
+            yield pa.RecordBatch.from_arrays(arrays + [batch.column("rest")] * len(rest), [*out, *["rest"] * len(rest)])
+
+    schema = T.StructType([T.StructField(c, t) for c, t in (
+        ("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()),
+        ("kept_sha256", T.StringType()), ("kept_text", T.StringType()))] + list(rest))
+    return found.select("doc_id", "text", "windows", *[f.name for f in rest]).mapInArrow(run, schema)
