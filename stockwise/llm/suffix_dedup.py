@@ -193,23 +193,23 @@ def _anchors(rows: DataFrame, length: int) -> DataFrame:
         run, "k1 long, k2 int, first int, n_win int, before int, gram long, span long, r long, l long")
 
 
-def _ranked(spans: DataFrame, side: str, length: int) -> DataFrame:
-    """Bytes that a span's context on one side can at most share with another
-    span of its gram. Each round ranks the pair (rank so far, rank at the
-    offset): the packed block names up to twice the offset."""
+def _ranked(spans: DataFrame, length: int) -> DataFrame:
+    """(sp, most_r, most_l): bytes that a span's context to either side can at
+    most share with another span of its gram. Each round ranks the pair (rank so
+    far, rank at the offset), which the packed block names spell up to twice the
+    offset, and goes on with spans whose rank is not unique."""
     step, level = length // BLOCKS, 1
-    left = spans.select("sp", "gram", F.col(side).alias("names"))
-    done = None
-    while True:
-        rank = F.shiftrightunsigned(F.col("names"), 8 * (BLOCKS - level))
-        pairs = left.withColumn("rank", rank)
-        again = pairs.groupBy("gram", "rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        unique = pairs.join(again, ["gram", "rank"], "left_anti").select("sp", F.lit(level * step - 1).alias("most"))
-        done = unique if done is None else done.unionByName(unique)
-        left = stored(pairs.join(again, ["gram", "rank"], "left_semi").drop("rank"), f"rank-{side}-{level}")
-        if level == BLOCKS:
-            return done.unionByName(left.select("sp", F.lit(length).alias("most")))
+    sides = F.explode(F.array(*[F.struct(F.lit(c).alias("side"), F.col(c).alias("names")) for c in ("r", "l")]))
+    left = spans.select("sp", "gram", sides.alias("s")).select("sp", "gram", "s.*")
+    reached = left.select("sp", "side", F.lit(step - 1).alias("most"))
+    while level <= BLOCKS:
+        pairs = left.withColumn("rank", F.shiftrightunsigned("names", 8 * (BLOCKS - level)))
+        again = pairs.groupBy("gram", "side", "rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        left = stored(pairs.join(again, ["gram", "side", "rank"], "left_semi").drop("rank"), f"rank-{level}")
+        most = length if level == BLOCKS else 2 * level * step - 1
+        reached = reached.unionByName(left.select("sp", "side", F.lit(most).alias("most")))
         level *= 2
+    return reached.groupBy("sp").agg(*[F.max(F.when(F.col("side") == c, F.col("most"))).alias(f"most_{c}") for c in ("r", "l")])
 
 
 def _repeated_windows(windows: DataFrame, salted: bool) -> DataFrame:
@@ -240,12 +240,10 @@ def repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col
         spans.join(per_gram, "gram").select(
             F.monotonically_increasing_id().alias("sp"), *same, (F.col("copies") == 1).alias("own"), "one.*",
             F.ceil(F.col("n_spans") / SALT_SPANS).cast("int").alias("salts")), "spans")
-    right = _ranked(shared, "r", length).withColumnRenamed("most", "most_r")
-    left = _ranked(shared, "l", length).withColumnRenamed("most", "most_l")
     # windows that start d bytes before the anchor: d <= left bound, length - d <= right bound
     low = F.greatest(F.lit(length) - F.col("most_r"), F.col("before") - F.col("n_win") + 1)
     high = F.least(F.col("most_l"), F.col("before"))
-    open_ = (shared.join(right, "sp").join(left, "sp").withColumns({"d_low": low, "d_high": high}).where("d_low <= d_high")
+    open_ = (shared.join(_ranked(shared, length), "sp").withColumns({"d_low": low, "d_high": high}).where("d_low <= d_high")
              .groupBy("k1", "k2").agg(F.collect_list(F.struct(
                  (F.col("first") + F.col("before") - F.col("d_high")).alias("start"),
                  (F.col("d_high") - F.col("d_low") + 1).alias("n"), "own", "salts",
@@ -331,7 +329,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
                 out["kept_text"].append(b"".join(whole).decode())
             types = [pa.int64()] * 4 + [pa.string()] * 2
             arrays = [pa.array(v, t) for v, t in zip(out.values(), types)]
-            yield pa.RecordBatch.from_arrays(arrays + [batch.column("rest")] * len(rest), [*out, *["rest"] * len(rest)])
+            yield pa.RecordBatch.from_arrays(arrays + [batch.column(f.name) for f in rest], [*out, *["rest"] * len(rest)])
 
     schema = T.StructType([T.StructField(c, t) for c, t in (
         ("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()),
