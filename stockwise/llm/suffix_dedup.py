@@ -213,16 +213,18 @@ def _ranked(spans: DataFrame, length: int) -> DataFrame:
 
 
 def _repeated_windows(windows: DataFrame, salted: bool) -> DataFrame:
-    """Windows of spans that stand alone, whose name occurs twice."""
-    name = ["w", "v"]
-    seen = windows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*name, "salt")))
-    found = seen.where("n > 1 and own").select("k1", "k2", "at")
+    """Windows of spans that stand alone, whose name occurs twice. ``tag`` holds
+    the salt, and in its two lowest bits whether the gram is salted and whether
+    the span stands alone."""
+    name, own = ["w", "v"], F.col("tag").bitwiseAND(1) == 1
+    seen = windows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*name, F.shiftright("tag", 2))))
+    found = seen.where(own & (F.col("n") > 1)).select("k1", "k2", "at")
     if not salted:
         return found
-    hot = seen.where("salts > 1")
-    across = (hot.groupBy(*name).agg(F.min("salt").alias("a"), F.max("salt").alias("b"))
+    hot = seen.where(F.col("tag").bitwiseAND(2) == 2)
+    across = (hot.groupBy(*name).agg(F.min(F.shiftright("tag", 2)).alias("a"), F.max(F.shiftright("tag", 2)).alias("b"))
               .where("a <> b").select(*name))
-    return found.unionByName(hot.where("n = 1 and own").join(across, name, "left_semi").select("k1", "k2", "at"))
+    return found.unionByName(hot.where(own & (F.col("n") == 1)).join(across, name, "left_semi").select("k1", "k2", "at"))
 
 
 def repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -246,8 +248,9 @@ def repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col
     open_ = (shared.join(_ranked(shared, length), "sp").withColumns({"d_low": low, "d_high": high}).where("d_low <= d_high")
              .groupBy("k1", "k2").agg(F.collect_list(F.struct(
                  (F.col("first") + F.col("before") - F.col("d_high")).alias("start"),
-                 (F.col("d_high") - F.col("d_low") + 1).alias("n"), "own", "salts",
-                 F.pmod(F.col("sp"), F.col("salts").cast("long")).cast("int").alias("salt"))).alias("open")))
+                 (F.col("d_high") - F.col("d_low") + 1).alias("n"), 
+                 (F.pmod(F.col("sp"), F.col("salts").cast("long")).cast("int") * 4 + (F.col("salts") > 1).cast("int") * 2
+                  + F.col("own").cast("int")).alias("tag"))).alias("open")))
     open_ = stored(open_, "open")
     by_key = rows.repartition("k1", "k2")
 
@@ -265,18 +268,19 @@ def repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col
                 lo = start + ends[of[row]]
                 for a in range(0, len(lo), 1 << 18):
                     cut = slice(a, a + (1 << 18))
-                    doc, k = pa.array(of[row[cut]]), row[cut]
+                    tag = get("tag")[row[cut]].astype(np.int32)
+                    # only a span that stands alone needs its place again
+                    doc = pa.array(of[row[cut]], mask=tag & 1 == 0)
+                    at = np.where(tag & 1, start[cut], 0).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(prints.wide(lo[cut], lo[cut] + length).view(np.int64)),
                          pa.array(prints.narrow(lo[cut], lo[cut] + length).astype(np.int32)),
-                         part.column("k1").take(doc), part.column("k2").take(doc), pa.array(start[cut].astype(np.int32)),
-                         pa.array(get("own")[k].astype(bool)), pa.array(get("salts")[k].astype(np.int32)),
-                         pa.array(get("salt")[k].astype(np.int32))],
-                        ["w", "v", "k1", "k2", "at", "own", "salts", "salt"])
+                         part.column("k1").take(doc), part.column("k2").take(doc), pa.array(at), pa.array(tag)],
+                        ["w", "v", "k1", "k2", "at", "tag"])
 
     salted = shared.agg(F.max("salts")).first()[0]
     windows = (by_key.join(open_, ["k1", "k2"]).select("k1", "k2", "text", "open")
-               .mapInArrow(name_windows, "w long, v int, k1 long, k2 int, at int, own boolean, salts int, salt int"))
+               .mapInArrow(name_windows, "w long, v int, k1 long, k2 int, at int, tag int"))
     single = _repeated_windows(windows, bool(salted and salted > 1)).select("k1", "k2", F.col("at").alias("a"), F.col("at").alias("b"))
     copied = (anchors.join(spans.where("copies > 1").select(*same), same, "left_semi")
               .select("k1", "k2", F.col("first").alias("a"), (F.col("first") + F.col("n_win") - 1).alias("b")))
