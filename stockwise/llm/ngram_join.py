@@ -7,9 +7,10 @@ result is the link components.
 1. Equal sets become one (digest of the sorted set), so exact copies cost a row.
 2. *Routing.* Linked sets must share a shingle among their first
    ``n - ceil(t n) + 1`` in any order common to all. The order puts shingles of
-   hash buckets found frequent last, so common passages rarely route; buckets
-   only order, they drop nothing. Sets that share a routed shingle fall into one
-   candidate cluster; every link lies inside a cluster.
+   hash buckets that a count sketch of fixed size finds frequent last, so shared
+   passages rarely route; the sketch only orders, it drops nothing. Routed
+   shingles of few sets give pairs, kept if enough of them are common; those of
+   many give stars. Every link lies inside a component of these edges (cluster).
 3. *Count-vector R-tree.* In a cluster, a set's shingles are hashed into 64
    groups; the group counts are its point. Points are packed into leaves, the
    leaf's coordinate maxima bound its points: the summed minima of two points
@@ -44,10 +45,11 @@ from stockwise.llm.components import connected_components
 from stockwise.llm.suffix_dedup import Prints, batches_of, mix
 
 U = np.uint64
-BUCKET_BITS = 16
-FREQUENT = 4            # times the mean count from which a task reports a bucket
-GROUPS = 64             # coordinates of a point
+BUCKET_BITS = 23        # of the count sketch that orders shingles: fixed size, whatever the input
+RANGE_BITS = 16         # buckets of one row of the sketch
+GROUPS = (64, 1024)     # coordinates of a point, fewest and most
 LEAF = 32               # points of a leaf
+FEW = 32                # sets of a routed shingle that are paired
 BLOCK = 2000            # sets that a task compares at once
 PIVOTS = 4
 SALT = 100_000          # rows of a routed shingle that one salt takes
@@ -102,57 +104,116 @@ def _digest(one: np.ndarray) -> tuple[int, int]:
 
 
 def _profile(docs: DataFrame, width: int) -> DataFrame:
-    """A row per text (id, n, f1, f2), and per task the frequent hash buckets."""
+    """A row per text (id, n, f1, f2), and per task its counts of hash buckets, in
+    ranges of buckets (compressed: a task's counts are mostly 0 and 1)."""
+    size = 1 << RANGE_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << BUCKET_BITS, np.int64)
+        counts = np.zeros(1 << BUCKET_BITS, np.uint16)
         names = ["doc_id", "n", "f1", "f2", "bucket", "hits"]
-        types = [pa.int64()] * 6
+        types = [pa.int64()] * 5 + [pa.binary()]
         for batch in batches:
             for part, data, ends in batches_of(batch):
                 sets = shingle_sets(data, ends, width)
-                for one in sets:
-                    counts += np.bincount((one >> U(64 - BUCKET_BITS)).astype(np.int64), minlength=len(counts)) if len(one) > 4096 else 0
-                small = [s for s in sets if len(s) <= 4096]
-                if small:
-                    counts += np.bincount((np.concatenate(small) >> U(64 - BUCKET_BITS)).astype(np.int64), minlength=len(counts))
+                found, hits = np.unique(np.concatenate(sets) >> U(64 - BUCKET_BITS), return_counts=True)
+                counts[found] = np.minimum(counts[found].astype(np.int64) + hits, 65535)
                 f = [_digest(s) for s in sets]
-                blank = pa.nulls(len(sets), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([x[0] for x in f], pa.int64()),
-                     pa.array([x[1] for x in f], pa.int64()), blank, blank], names)
-        often = np.flatnonzero(counts > np.maximum(FREQUENT * counts.mean(), 64))
-        blank = pa.nulls(len(often), pa.int64())
-        yield pa.RecordBatch.from_arrays([blank] * 4 + [pa.array(often, types[4]), pa.array(counts[often], types[5])], names)
+                     pa.array([x[1] for x in f], pa.int64()), pa.nulls(len(sets), types[4]), pa.nulls(len(sets), types[5])], names)
+        rows = [(r, pa.compress(one.tobytes(), codec="zstd", asbytes=True)) for r, one in enumerate(counts.reshape(-1, size)) if one.any()]
+        blank = pa.nulls(len(rows), pa.int64())
+        yield pa.RecordBatch.from_arrays([blank] * 4 + [pa.array([x[0] for x in rows], types[4]), pa.array([x[1] for x in rows], types[5])], names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, bucket long, hits long")
+    return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, bucket long, hits binary")
 
 
-def _routes(docs: DataFrame, width: int, num: int, den: int, ranks: np.ndarray, salts: np.ndarray) -> DataFrame:
-    """(key, salt, salts, f1) of the shingles that route a set."""
+def _sketch(profile: DataFrame) -> np.ndarray:
+    """Counts of all buckets: 2^23 numbers at the driver, whatever the input."""
+    size = 1 << RANGE_BITS
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for r, hits in zip(batch.column("bucket").to_pylist(), batch.column("hits").to_pylist()):
+                one = np.frombuffer(pa.decompress(hits, decompressed_size=2 * size, codec="zstd", asbytes=True), np.uint16)
+                sums[r] = np.minimum(sums.get(r, 0) + one.astype(np.int64), (1 << 31) - 1)
+        out = [pa.compress(x.astype(np.int32).tobytes(), codec="zstd", asbytes=True) for x in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(out, pa.binary())], ["bucket", "hits"])
+
+    counts = np.zeros((1 << BUCKET_BITS - RANGE_BITS, size), np.int32)
+    for r in profile.where("bucket is not null").select("bucket", "hits").repartition("bucket").mapInArrow(total, "bucket long, hits binary").collect():
+        counts[r.bucket] = np.frombuffer(pa.decompress(r.hits, decompressed_size=4 * size, codec="zstd", asbytes=True), np.int32)
+    return counts.ravel()
+
+
+def _routes(docs: DataFrame, width: int, num: int, den: int, sent) -> DataFrame:
+    """(key, salt, f1, n) of the shingles that route a set; salt -1: not salted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks, salts = sent.value
+        seen: set[int] = set()      # copies inside the task
         for batch in batches:
             for _, data, ends in batches_of(batch):
                 keys, names = [], []
                 for one in shingle_sets(data, ends, width):
                     n = len(one)
-                    if not n:
+                    f1 = _digest(one)[0] if n else 0
+                    if not n or f1 in seen:
                         continue
+                    seen.add(f1)
                     p = n - -(-num * n // den) + 1
                     rank = ranks[(one >> U(64 - BUCKET_BITS)).astype(np.int64)]
                     keys.append(one[np.argsort(rank, kind="stable")[:p]] if rank.any() else one[:p])
-                    names.append((_digest(one)[0], p))
+                    names.append((f1, p, n))
                 if not keys:
                     continue
                 key = np.concatenate(keys)
-                f1 = np.repeat(np.array([x[0] for x in names], np.int64), [x[1] for x in names])
-                of = salts[(key >> U(64 - BUCKET_BITS)).astype(np.int64)]
+                times = [x[1] for x in names]
+                f1 = np.repeat(np.array([x[0] for x in names], np.int64), times)
+                size = np.repeat(np.array([x[2] for x in names], np.int32), times)
+                bucket = (key >> U(64 - BUCKET_BITS)).astype(np.int64)
+                of = salts[np.searchsorted(salts[:, 0], bucket, "right") - 1] if len(salts) else None
+                of = np.where(of[:, 0] == bucket, of[:, 1], 1) if len(salts) else np.ones(len(key), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array((f1 % of).astype(np.int32)), pa.array(of.astype(np.int32)), pa.array(f1)],
-                    ["key", "salt", "salts", "f1"])
-
-    return docs.select("text").mapInArrow(run, "key long, salt int, salts int, f1 long")
+                    [pa.array(key.view(np.int64)), pa.array(np.where(of > 1, f1 % of, -1).astype(np.int32)), pa.array(f1), pa.array(size)],
+                    ["key", "salt", "f1", "n"])
+
+    return docs.select("text").mapInArrow(run, "key long, salt int, f1 long, n int")
+
+
+def _candidates(routes: DataFrame, salted: bool, num: int, den: int) -> DataFrame:
+    """Edges (a, b) whose components hold every pair that can link.
+
+    A shingle that routes few sets gives their pairs. Of a pair's common shingles
+    those up to the smaller last routed one are routed by both, so the overlap is
+    at most the number of common routed shingles plus ``ceil(t n) - 1``; pairs
+    below what a link needs go. A shingle that routes many sets gives a star.
+    """
+    routes = routes.repartition("key", "salt").dropDuplicates(["key", "salt", "f1", "n"])
+    pooled = Window.partitionBy("key", "salt")
+    routes = routes.withColumns({
+        "of": F.count(F.lit(1)).over(pooled), "top": F.min("f1").over(pooled),
+        "later": F.collect_list(F.struct("f1", "n")).over(pooled.orderBy("f1", "n").rowsBetween(1, FEW - 1))})
+    routes = stored(routes.where("of > 1 or salt >= 0").withColumn("many", (F.col("of") > FEW) | (F.col("salt") >= 0))
+                    .withColumn("later", F.when(~F.col("many"), F.col("later"))), "routes")
+    many = routes.where("many")
+    star = many.where("f1 <> top").select(F.col("f1").alias("a"), F.col("top").alias("b"))
+    if salted:
+        heads = many.where("salt >= 0").groupBy("key", "salt").agg(F.min("f1").alias("f1"))
+        across = heads.groupBy("key").agg(F.min("f1").alias("top"))
+        star = star.unionByName(heads.join(across, "key").where("f1 <> top").select(F.col("f1").alias("a"), F.col("top").alias("b")))
+    hidden = many.groupBy("f1").agg(F.count(F.lit(1)).alias("h"))
+    pairs = (routes.where("not many").select(F.col("f1").alias("a"), F.col("n").alias("na"), F.explode("later").alias("x"))
+             .select("a", "na", F.col("x.f1").alias("b"), F.col("x.n").alias("nb"))
+             .where((F.col("a") != F.col("b")) & (num * F.greatest("na", "nb") <= den * F.least("na", "nb")))
+             .groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("common")))
+    pairs = (pairs.join(hidden.select(F.col("f1").alias("a"), F.col("h").alias("ha")), "a", "left")
+             .join(hidden.select(F.col("f1").alias("b"), F.col("h").alias("hb")), "b", "left"))
+    common = F.col("common") + F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))
+    beyond = F.ceil(F.greatest("na", "nb") * num / den) - 1
+    near = pairs.where((common + beyond) * (num + den) >= num * (F.col("na") + F.col("nb")))
+    return star.distinct().unionByName(near.select("a", "b"))
 
 
 class CountTree:
@@ -161,7 +222,9 @@ class CountTree:
 
     def __init__(self, sets: list[np.ndarray]) -> None:
         self.size = np.array([len(s) for s in sets], np.int64)
-        self.points = np.stack([np.bincount((s & U(GROUPS - 1)).astype(np.int64), minlength=GROUPS) for s in sets]).astype(np.int32)
+        # random points differ enough for the bound only with groups in proportion to the sets
+        groups = min(GROUPS[1], max(GROUPS[0], 1 << (int(self.size.max()) // 8).bit_length()))
+        self.points = np.stack([np.bincount((s & U(groups - 1)).astype(np.int64), minlength=groups) for s in sets]).astype(np.int32)
         order = np.arange(len(sets))
         spread = np.argsort(-self.points.var(0), kind="stable")[:2]
         order = order[np.lexsort((self.points[:, spread[1]], self.points[:, spread[0]], self.size.astype(float).round(-2), ))]
@@ -249,23 +312,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     profile = stored(_profile(rows, width), "profile")
     texts = profile.where("bucket is null").select("doc_id", "n", "f1", "f2")
 
-    # at most 2^16 rows, whatever the input: the frequency rank of hash buckets
-    hits = profile.where("bucket is not null").groupBy("bucket").agg(F.sum("hits").alias("hits")).collect()
-    ranks, salts = np.zeros(1 << BUCKET_BITS, np.int8), np.ones(1 << BUCKET_BITS, np.int64)
-    for r in hits:
-        ranks[r.bucket] = int(r.hits).bit_length()
-        salts[r.bucket] = 1 + r.hits // SALT
+    counts = _sketch(profile)
+    mean = counts.mean()
+    frequent = counts > max(8.0, mean + 4 * math.sqrt(mean))
+    ranks = np.where(frequent, np.ceil(np.log2(np.maximum(counts, 1))), 0).astype(np.int8)
+    hot = np.flatnonzero(counts > SALT)
+    salts = np.stack([hot, 1 + counts[hot] // SALT], 1).astype(np.int64)
+    sent = docs.sparkSession.sparkContext.broadcast((ranks, salts))
     sets = stored(texts.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep")), "sets")
 
-    routes = _routes(rows, width, num, den, ranks, salts)
-    pooled = Window.partitionBy("key", "salt").orderBy("f1")
-    routes = routes.withColumns({"top": F.first("f1").over(pooled), "place": F.row_number().over(pooled)})
-    star = routes.where("f1 <> top").select(F.col("f1").alias("a"), F.col("top").alias("b"))
-    if (salts > 1).any():
-        heads = routes.where("salts > 1 and place = 1").select("key", "f1")
-        across = heads.groupBy("key").agg(F.min("f1").alias("top"))
-        star = star.unionByName(heads.join(across, "key").where("f1 <> top").select(F.col("f1").alias("a"), F.col("top").alias("b")))
-    clusters = connected_components(star)
+    clusters = connected_components(_candidates(_routes(rows, width, num, den, sent), len(salts) > 0, num, den))
     members = stored(sets.join(clusters, sets.f1 == clusters.node).select(
         "rep", "n", F.col("component").alias("cluster"),
         F.floor(F.log(F.col("n") * 1.0) / F.lit(math.log(den / num) * (1 + 1e-9))).cast("int").alias("class")), "members")
