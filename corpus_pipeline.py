@@ -15,7 +15,7 @@ from stockwise.llm.common import stored
 from stockwise.llm.ngram_join import near_duplicates
 from stockwise.llm.packing import pack
 from stockwise.llm.pii import replace_pii
-from stockwise.llm.quality_rules import MAX_LABELLED, judged, labelled_cases, learn
+from stockwise.llm.quality_rules import MAX_LABELLED, kept_documents, labelled_cases, learn
 from stockwise.llm.queries import SURROGATE_KEY
 from stockwise.llm.suffix_dedup import remove_repeats
 
@@ -26,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the learned decision list keep. Rules
     are learned from the labels of ``sf_dir`` on these documents."""
     rules = learn(labelled_cases(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), MAX_LABELLED))
-    return judged(docs, rules).where("kept").select(*docs.columns)
+    return kept_documents(docs, rules)
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,9 +48,12 @@ def vector(text: Column) -> Column:
         out += [total(h[SUMS + k], lambda x, s=s: F.shiftrightunsigned(x, s).bitwiseAND(spread)) for k in range(SKETCHES) for s in range(LANE)]
         return F.array(*out)
 
+    def seeded(k: int):
+        return lambda x: F.xxhash64(x, F.lit(k))
+
     pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PIECE), F.lit(0))
     return let(pieces, lambda p: let(
-        F.array(*[F.transform(p, lambda x, k=k: F.xxhash64(x, F.lit(k))) for k in range(SUMS + SKETCHES)]), lanes))
+        F.array(*[F.transform(p, seeded(k)) for k in range(SUMS + SKETCHES)]), lanes))
 
 
 def combined(a: Column, b: Column, sign: int = 1) -> Column:

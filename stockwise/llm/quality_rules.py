@@ -220,14 +220,26 @@ def _pruned(left: DataFrame, rule: Rule, min_precision: float) -> Rule | None:
     return max(good, key=lambda x: x[:3])[3] if good else None
 
 
+MEASURES = "_measures"
+
+
+def _base_failed(m: Column) -> Column:
+    return (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
+
+
 def judged(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` with the measures, ``base_failed``, ``rule`` (of
     the list, 0: none) and ``kept``."""
-    m = docs.withColumn("m", measures(F.col(text_col).cast("string")))
+    m = F.col(MEASURES)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    m = m.withColumns({c: F.col(f"m.{c}") for c in names} | {"rule": verdict(rules, F.col("m"))})
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return m.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0)).drop("m")
+    return docs.withColumn(MEASURES, measures(F.col(text_col).cast("string"))).withColumns(
+        {c: m[c] for c in names} | {"rule": verdict(rules, m), "base_failed": _base_failed(m), "kept": ~_base_failed(m) & (verdict(rules, m) == 0)}).drop(MEASURES)
+
+
+def kept_documents(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, that base rules and list keep."""
+    m = F.col(MEASURES)
+    return docs.withColumn(MEASURES, measures(F.col(text_col).cast("string"))).where(~_base_failed(m) & (verdict(rules, m) == 0)).drop(MEASURES)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
