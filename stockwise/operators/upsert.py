@@ -69,7 +69,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Seq
     ``update_cols`` only those columns change on existing rows;
     ``preserve`` columns keep the target's value when the row exists
     (e.g. the embedding of a product); ``updated_at`` is stamped on updated
-    rows only.
+    rows only. With ``order`` a source row that is older than the target's row
+    of its key changes nothing.
     """
     src = source.where(_keys_not_null(source, keys))
     src = dedup_keep_last(src, keys, order) if order else src.dropDuplicates(list(keys))
@@ -77,11 +78,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Seq
     keep_from_target = set(preserve)
     if update_cols is not None:
         keep_from_target |= {c for c in cols if c not in keys and c not in update_cols}
-    tgt_keep = [c for c in cols if c in keep_from_target or c == updated_at]
+    dated = [c for c in order if c in cols and c in src.columns]
+    tgt_keep = [c for c in cols if c not in keys] if dated else [c for c in cols if c in keep_from_target or c == updated_at]
     # One target row per key (a target with repeated keys must not multiply rows).
     t_one = dedup_keep_last(target, keys, order) if order else target.dropDuplicates(list(keys))
-    t_side = t_one.select(*keys, *[F.col(c).alias(f"__t_{c}") for c in tgt_keep], F.lit(True).alias("__exists"))
+    t_side = t_one.select(*keys, *[F.col(c).alias(f"__t_{c}") for c in tgt_keep], F.lit(True).alias("__exists"),
+                          *[F.col(c).alias(f"__o_{c}") for c in dated])
     joined = src.join(t_side, list(keys), "left")
+    if dated:
+        older = F.struct(*[F.col(c) for c in dated]) < F.struct(*[F.col(f"__o_{c}").alias(c) for c in dated])
+        joined = joined.withColumn("__older", F.col("__exists").isNotNull() & older)
     out_cols = []
     for c in cols:
         if c in keys:
@@ -95,6 +101,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Seq
             out_cols.append(F.when(F.col("__exists"), F.col(f"__t_{c}")).otherwise(new).alias(c))
         else:
             out_cols.append(F.col(c) if c in src.columns else F.lit(None).cast(target.schema[c].dataType).alias(c))
+    if dated:       # a row that is older leaves the target's row as it is
+        out_cols = [c if name in keys else F.when(F.col("__older"), F.col(f"__t_{name}")).otherwise(c).alias(name)
+                    for name, c in zip(cols, out_cols)]
     upserted = joined.select(*out_cols)
     untouched = target.join(src.select(*keys), list(keys), "left_anti")
     return untouched.unionByName(upserted)
@@ -177,10 +186,9 @@ def export_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def pivot_date_by_sku(df: DataFrame, date_col: str, sku_col: str, value_col: str, max_skus: int = 500) -> DataFrame:
-    """Date x SKU pivot; the SKU list is capped (pivot needs its values)."""
-    skus = [r[0] for r in df.select(sku_col).distinct().orderBy(sku_col).limit(max_skus).collect()]
-    return df.groupBy(date_col).pivot(sku_col, skus).agg(F.first(value_col))
+def date_by_sku(df: DataFrame, date_col: str, sku_col: str, value_col: str) -> DataFrame:
+    """Date x SKU in long form, one row per cell: every SKU, whatever their number."""
+    return df.groupBy(date_col, sku_col).agg(F.max(value_col).alias(value_col))
 
 
 def add_surrogate_id(df: DataFrame, key: str, name: str = "id") -> DataFrame:

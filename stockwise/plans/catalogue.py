@@ -182,14 +182,13 @@ def a26_origin(spark, sf_dir):
 
 
 @register("A27_sku_duplicate_check", oracle="""
-SELECT upper(items_product_sku) AS sku, count(DISTINCT items_product_description) AS descriptions
-FROM sales_items GROUP BY 1 HAVING count(DISTINCT salesinvoiceid) > 40""")
+SELECT upper(items_product_sku) AS sku, count(DISTINCT items_product_description) AS descriptions, count(*) AS line_count
+FROM sales_items GROUP BY 1 HAVING count(*) > 1""")
 def a27_duplicates(spark, sf_dir):
     si = views(spark, sf_dir).sales_items
     return (si.groupBy(F.upper("items_product_sku").alias("sku"))
-            .agg(F.countDistinct("items_product_description").alias("descriptions"),
-                 F.countDistinct("salesinvoiceid").alias("_n"))
-            .where(F.col("_n") > 40).drop("_n"))
+            .agg(F.countDistinct("items_product_description").alias("descriptions"), F.count(F.lit(1)).alias("line_count"))
+            .where("line_count > 1"))
 
 
 def _html_sql(col: str) -> str:

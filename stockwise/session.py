@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 def get_spark(cpus: int | str = "*", app: str = "stockwise", shuffle_partitions: int | None = None) -> SparkSession:
     """Local session for tests and the bench; on a cluster the builder's
     existing session and its configuration win (``getOrCreate``)."""
-    parts = shuffle_partitions or (8 if cpus == "*" else max(4, int(cpus)))
+    builder = SparkSession.builder.appName(app)
+    if not _submitted():
+        # a local run; a submitted application keeps its master, memory and partitions
+        parts = shuffle_partitions or (8 if cpus == "*" else max(4, int(cpus)))
+        builder = (builder.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", str(parts))
+                   .config("spark.driver.memory", os.environ.get("STOCKWISE_DRIVER_MEMORY", "16g")))
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", str(parts))
+        builder
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -23,7 +26,6 @@ def get_spark(cpus: int | str = "*", app: str = "stockwise", shuffle_partitions:
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("STOCKWISE_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -31,11 +33,17 @@ def get_spark(cpus: int | str = "*", app: str = "stockwise", shuffle_partitions:
     return spark
 
 
+def _submitted() -> bool:
+    """Whether spark-submit or a running session already chose a master."""
+    return SparkSession.getActiveSession() is not None or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "") or "MASTER" in os.environ
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local tests) a scratch folder is created
-    and registered; on a cluster the configured shared folder is used as is.
+    Only when the setting is absent under a ``local[...]`` master (tests) a
+    scratch folder is created and registered; on a cluster the configured shared
+    folder is used as is, and its absence is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -44,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="stockwise-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

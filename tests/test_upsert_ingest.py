@@ -115,3 +115,13 @@ def test_rejection_report(spark):
     rep = {r.reason: (r.n, r.examples) for r in U.rejection_report(df, "sku", "product_id").collect()}
     assert rep["empty"] == (4, "0,4,5") and rep["none"] == (1, "1") and rep["false"] == (1, "2")
     assert F is not None
+
+
+def test_upsert_keeps_newer_target_rows(spark):
+    """A late, older source row does not replace the target's newer one."""
+    target = spark.createDataFrame([(1, "new", 2), (2, "old", 1)], "id int, v string, write_date int")
+    source = spark.createDataFrame([(1, "late", 1), (2, "next", 2), (3, "first", 1)], "id int, v string, write_date int")
+    out = U.upsert(target, source, ["id"], order=["write_date"])
+    assert sorted(map(tuple, out.collect())) == [(1, "new", 2), (2, "next", 2), (3, "first", 1)]
+    again = U.upsert(out, source, ["id"], order=["write_date"])
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, out.collect()))
