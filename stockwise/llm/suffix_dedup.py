@@ -45,7 +45,7 @@ from stockwise.llm.common import stored
 GRAM = 32
 BLOCKS = 8                      # named blocks to each side of an anchor
 BASE, BASE31, PRIME = 0x9E3779B97F4A7C15, 1103515245, (1 << 31) - 1
-SLICE_BYTES = 4 << 20           # text hashed at once; a longer text alone
+SLICE_BYTES = 2 << 20           # text hashed at once; a longer text alone
 SALT_SPANS = 1_000              # distinct spans of a gram that one salt takes
 U = np.uint64
 
