@@ -197,34 +197,49 @@ def _ranked(spans: DataFrame, length: int) -> DataFrame:
     """(sp, most_r, most_l): bytes that a span's context to either side can at
     most share with another span of its gram. Each round ranks the pair (rank so
     far, rank at the offset), which the packed block names spell up to twice the
-    offset, and goes on with spans whose rank is not unique."""
+    offset, and goes on with spans whose rank is not unique. A last round ranks
+    the prefixes between the powers of two, so the bounds are exact to a block."""
     step, level = length // BLOCKS, 1
     sides = F.explode(F.array(*[F.struct(F.lit(c).alias("side"), F.col(c).alias("names")) for c in ("r", "l")]))
     left = spans.select("sp", "gram", sides.alias("s")).select("sp", "gram", "s.*")
-    reached = left.select("sp", "side", F.lit(step - 1).alias("most"))
+    reached = left.select("sp", "side", F.lit(0).alias("blocks"))
+
+    def not_unique(rows: DataFrame) -> DataFrame:
+        ranked = rows.withColumn("rank", F.expr(f"shiftrightunsigned(names, 8 * ({BLOCKS} - blocks))"))
+        again = ranked.groupBy("gram", "side", "blocks", "rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        return ranked.join(again, ["gram", "side", "blocks", "rank"], "left_semi").drop("rank")
+
+    between = None
     while level <= BLOCKS:
-        pairs = left.withColumn("rank", F.shiftrightunsigned("names", 8 * (BLOCKS - level)))
-        again = pairs.groupBy("gram", "side", "rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        left = stored(pairs.join(again, ["gram", "side", "rank"], "left_semi").drop("rank"), f"rank-{level}")
-        most = length if level == BLOCKS else 2 * level * step - 1
-        reached = reached.unionByName(left.select("sp", "side", F.lit(most).alias("most")))
+        left = stored(not_unique(left.withColumn("blocks", F.lit(level))), f"rank-{level}")
+        reached = reached.unionByName(left.select("sp", "side", "blocks"))
+        # whoever shares a prefix in between shares this power of two as well
+        inner = list(range(level + 1, min(2 * level, BLOCKS)))
+        if inner:
+            more = left.withColumn("blocks", F.explode(F.array(*[F.lit(b) for b in inner])))
+            between = more if between is None else between.unionByName(more)
         level *= 2
-    return reached.groupBy("sp").agg(*[F.max(F.when(F.col("side") == c, F.col("most"))).alias(f"most_{c}") for c in ("r", "l")])
+    reached = reached.unionByName(not_unique(between).select("sp", "side", "blocks"))
+    most = F.max(F.col("blocks"))
+    best = reached.groupBy("sp", "side").agg(F.when(most == BLOCKS, F.lit(length)).otherwise((most + 1) * step - 1).alias("most"))
+    return best.groupBy("sp").agg(*[F.max(F.when(F.col("side") == c, F.col("most"))).alias(f"most_{c}") for c in ("r", "l")])
 
 
 def _repeated_windows(windows: DataFrame, salted: bool) -> DataFrame:
     """Windows of spans that stand alone, whose name occurs twice. ``tag`` holds
     the salt, and in its two lowest bits whether the gram is salted and whether
-    the span stands alone."""
+    the span stands alone. Of a salted name each salt sends one row on, so the
+    salts meet without the windows being shuffled again."""
     name, own = ["w", "v"], F.col("tag").bitwiseAND(1) == 1
-    seen = windows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*name, F.shiftright("tag", 2))))
+    salt = Window.partitionBy(*name, F.shiftright("tag", 2)).orderBy("tag")
+    all_of = salt.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seen = windows.withColumns({"n": F.count(F.lit(1)).over(all_of), "place": F.row_number().over(salt)})
     found = seen.where(own & (F.col("n") > 1)).select("k1", "k2", "at")
     if not salted:
         return found
-    hot = seen.where(F.col("tag").bitwiseAND(2) == 2)
-    across = (hot.groupBy(*name).agg(F.min(F.shiftright("tag", 2)).alias("a"), F.max(F.shiftright("tag", 2)).alias("b"))
-              .where("a <> b").select(*name))
-    return found.unionByName(hot.where(own & (F.col("n") == 1)).join(across, name, "left_semi").select("k1", "k2", "at"))
+    heads = seen.where((F.col("tag").bitwiseAND(2) == 2) & (F.col("place") == 1))
+    across = heads.withColumn("salts", F.count(F.lit(1)).over(Window.partitionBy(*name)))
+    return found.unionByName(across.where(own & (F.col("n") == 1) & (F.col("salts") > 1)).select("k1", "k2", "at"))
 
 
 def repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
