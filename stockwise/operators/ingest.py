@@ -8,35 +8,53 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockwise.functions.scalars import mo_origin, name_with_attributes, neg_id
-from stockwise.operators.upsert import dedup_keep_last
 
 EXCLUDED_ORDER_STATES = ("draft", "sent", "cancel")
 
 
 # I1 ------------------------------------------------------------------------
-def uom_roots(uom: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Root of each unit's ``parent_id`` chain by pointer jumping: each round
-    replaces the pointer by the pointer's pointer, so depth d needs log2(d)
-    joins. A cycle stops when no pointer changes; its units report the last
-    unit reached. The loop only reads one number per round on the driver.
+def uom_roots(uom: DataFrame) -> DataFrame:
+    """Root of each unit's ``parent_id`` chain by pointer jumping: round k knows
+    the unit 2^k steps up, so a chain of n units needs log2(n) + 1 joins. A walk
+    that meets a cycle ends at the last unit before it would repeat one; a parent
+    that is not in the table is a root. One row a round reaches the driver.
     """
     from stockwise.session import cut_lineage
 
-    cur = uom.select("uom_id", F.coalesce("parent_id", "uom_id").alias("anc"))
-    for _ in range(max_rounds):
-        nxt_map = cur.select(F.col("uom_id").alias("anc"), F.col("anc").alias("anc2"))
-        nxt = cur.join(nxt_map, "anc", "left").select("uom_id", F.coalesce("anc2", "anc").alias("anc"))
-        # Reliable checkpoint each round keeps the plan short and survives executor loss.
-        nxt = cut_lineage(nxt)
-        changed = nxt.join(cur.withColumnRenamed("anc", "old"), "uom_id").where(F.col("anc") != F.col("old"))
-        cur = nxt
-        if changed.limit(1).count() == 0:
-            break
-    return cur.select("uom_id", F.col("anc").alias("root_id"))
+    units = uom.groupBy("uom_id").agg(F.max("parent_id").alias("parent_id"))
+    # ``anc``: the unit reached, null beyond the root; ``root``: the last unit so far
+    cur = cut_lineage(units.select("uom_id", F.col("parent_id").alias("anc"), F.coalesce("parent_id", "uom_id").alias("root")))
+    rounds = max(1, cur.count()).bit_length() + 1
+    for _ in range(rounds):
+        ahead = cur.select(F.col("uom_id").alias("anc"), F.col("anc").alias("next"), F.col("root").alias("top"))
+        cur = cut_lineage(cur.join(ahead, "anc", "left").select("uom_id", F.col("next").alias("anc"), F.coalesce("top", "root").alias("root")))
+        if not cur.where(F.col("anc").isNotNull()).take(1):
+            return cur.select("uom_id", F.col("root").alias("root_id"))
+    endless = cur.where(F.col("anc").isNotNull()).select("uom_id")
+    return cur.join(endless, "uom_id", "left_anti").select("uom_id", F.col("root").alias("root_id")).unionByName(
+        _before_repeat(units.where("uom_id <> parent_id or parent_id is null"), endless))
+
+
+def _before_repeat(units: DataFrame, endless: DataFrame) -> DataFrame:
+    """(uom_id, root_id) of units whose walk meets a cycle: the unit in front of
+    the first one that the walk has seen. Rounds: the longest such walk."""
+    from stockwise.session import cut_lineage
+
+    up = units.join(endless, "uom_id", "left_semi").select(F.col("uom_id").alias("at"), F.col("parent_id").alias("next"))
+    walk = endless.select("uom_id", F.col("uom_id").alias("at"), F.array("uom_id").alias("seen"))
+    done = None
+    while True:
+        ahead = cut_lineage(walk.join(up, "at", "left").withColumn(
+            "ends", F.col("next").isNull() | F.array_contains("seen", F.coalesce("next", "at"))))
+        ended = ahead.where("ends").select("uom_id", F.col("at").alias("root_id"))
+        done = ended if done is None else done.unionByName(ended)
+        walk = ahead.where("not ends").select("uom_id", F.col("next").alias("at"), F.array_append("seen", F.col("next")).alias("seen"))
+        if not walk.take(1):
+            return done
 
 
 # I2 ------------------------------------------------------------------------
@@ -81,32 +99,29 @@ def sync_orders(orders: DataFrame, remap: DataFrame) -> DataFrame:
 
 
 # I7 / I8 --------------------------------------------------------------------
-def _legacy_valid(staging: DataFrame, product: DataFrame) -> DataFrame:
-    d = dedup_keep_last(staging, ["salesinvoiceid", "items_product_sku"], ["docnumber"])
-    p = product.select(F.col("sku").alias("items_product_sku"), F.col("product_id").alias("pid"))
-    lines = d.join(p, "items_product_sku", "left")
-    bad = lines.groupBy("salesinvoiceid").agg(F.bool_or(F.col("pid").isNull()).alias("bad")).where("bad")
-    return lines.join(bad, "salesinvoiceid", "left_anti")
+def _legacy_lines(staging: DataFrame, product: DataFrame) -> DataFrame:
+    """Newest document of each (invoice, SKU) with its product, of invoices whose
+    SKUs are all known: one flag per invoice over the lines, no second join."""
+    newest = F.max_by(F.struct(*staging.columns), F.struct("docnumber", *[
+        c for c in staging.columns if c not in ("docnumber", "salesinvoiceid", "items_product_sku")]))
+    lines = (staging.groupBy("salesinvoiceid", "items_product_sku").agg(newest.alias("row")).select("row.*")
+             .join(product.select(F.col("sku").alias("items_product_sku"), F.col("product_id").alias("pid")), "items_product_sku", "left"))
+    known = F.min(F.col("pid").isNotNull()).over(Window.partitionBy("salesinvoiceid"))
+    return lines.withColumns({"known": known, "invoice_id": neg_id("salesinvoiceid")}).where("known")
 
 
 def legacy_orders(staging: DataFrame, product: DataFrame) -> DataFrame:
-    """Invoice -> order: dedup (highest docnumber), invoices with an unknown
-    SKU dropped; id = -(first 15 hex of md5(invoice)); date/amount = max."""
-    v = _legacy_valid(staging, product)
-    return v.groupBy("salesinvoiceid").agg(
-        F.max("issueddate").alias("date_order"), F.max("total_total").alias("amount_total")).select(
-        (-F.conv(F.substring(F.md5("salesinvoiceid"), 1, 15), 16, 10).cast("bigint")).alias("odoo_id"),
-        "salesinvoiceid", "date_order", "amount_total", F.lit("done").alias("state"))
+    """One order per invoice without unknown SKUs: latest date, largest total."""
+    return (_legacy_lines(staging, product).groupBy("salesinvoiceid", F.col("invoice_id").alias("odoo_id"))
+            .agg(F.max("issueddate").alias("date_order"), F.max("total_total").alias("amount_total"))
+            .select("odoo_id", "salesinvoiceid", "date_order", "amount_total", F.lit("done").alias("state")))
 
 
 def legacy_lines(staging: DataFrame, product: DataFrame) -> DataFrame:
-    v = _legacy_valid(staging, product)
-    return v.select(
-        (-F.conv(F.substring(F.md5(F.concat("salesinvoiceid", "items_product_sku")), 1, 15), 16, 10)
-         .cast("bigint")).alias("odoo_id"),
-        (-F.conv(F.substring(F.md5("salesinvoiceid"), 1, 15), 16, 10).cast("bigint")).alias("order_odoo_id"),
-        F.col("pid").alias("product_id"), F.col("items_quantity").alias("quantity"),
-        F.col("items_unitprice").alias("unit_price"))
+    """The lines of those orders, ids hashed from invoice and SKU."""
+    return _legacy_lines(staging, product).select(
+        neg_id(F.concat("salesinvoiceid", "items_product_sku")).alias("odoo_id"), F.col("invoice_id").alias("order_odoo_id"),
+        F.col("pid").alias("product_id"), F.col("items_quantity").alias("quantity"), F.col("items_unitprice").alias("unit_price"))
 
 
 def legacy_line_id(invoice, sku) -> F.Column:

@@ -109,6 +109,12 @@ def test_uom_roots_pointer_jumping(spark):
     assert {r.uom_id: r.root_id for r in I.uom_roots(u).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 5}
 
 
+def test_uom_roots_with_cycles_and_tails(spark):
+    """A walk ends in front of the unit that it would meet again."""
+    u = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (5, 6), (6, 5), (7, 1), (8, 8), (9, 8), (10, 99)], "uom_id long, parent_id long")
+    assert {r.uom_id: r.root_id for r in I.uom_roots(u).collect()} == {1: 3, 2: 1, 3: 2, 5: 6, 6: 5, 7: 3, 8: 8, 9: 8, 10: 99}
+
+
 def test_rejection_report(spark):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(["", "None", "False", "A", "", "", ""])],
                                "product_id long, sku string")
