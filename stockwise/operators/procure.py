@@ -1,13 +1,13 @@
 """Procurement: supplier prices, shortages, purchase lines and drafts.
 
 Everything is keyed by product or (product, supplier); supplier price history
-is reduced with one window + aggregate per key, and drafts stay as rows
+is reduced with one aggregate per key, and drafts stay as rows
 (header aggregates + line rows) instead of unbounded per-supplier arrays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockwise.functions.scalars import exact_avg, format_price
@@ -26,15 +26,12 @@ def supplier_prices(product: DataFrame, po_line: DataFrame, partner: DataFrame)
         "product_id", F.col("name").alias("product_name"), F.col("sku").alias("product_default_code"))
     lines = (po_line.join(p, "product_id")
              .join(prt, po_line.partner_id == prt.supplier_id))
-    w = Window.partitionBy("product_id", "supplier_id").orderBy(
-        F.col("date_order").desc_nulls_last(), F.col("write_date").desc_nulls_last(),
-        F.col("po_id").desc(), F.col("unit_price").desc())
-    ranked = lines.withColumn("rn", F.row_number().over(w))
-    return ranked.groupBy("product_id", "product_name", "product_default_code",
-                          "supplier_id", "supplier_name", "supplier_vat").agg(
+    newest = F.struct(*[F.coalesce(F.col(c), F.lit("0001-01-01").cast(po_line.schema[c].dataType)).alias(c)
+                        for c in ("date_order", "write_date")], "po_id", "unit_price")
+    return lines.groupBy("product_id", "product_name", "product_default_code",
+                         "supplier_id", "supplier_name", "supplier_vat").agg(
         F.min("unit_price").alias("min_price"), F.max("unit_price").alias("max_price"),
-        exact_avg("unit_price", 4).alias("avg_price"),
-        F.max(F.when(F.col("rn") == 1, F.col("unit_price"))).alias("last_price"))
+        exact_avg("unit_price", 4).alias("avg_price"), F.max_by("unit_price", newest).alias("last_price"))
 
 
 # O9 / F20 ----------------------------------------------------------------------

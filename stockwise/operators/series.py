@@ -278,4 +278,4 @@ def clamp_to_history(forecast: DataFrame, monthly: DataFrame, before_month: dt.d
 def write_monthly_sales(monthly: DataFrame, path: str) -> None:
     """Fact table partitioned by month for partition pruning."""
     (monthly.withColumn("month_date", F.trunc("month", "month"))
-     .repartition("month_date").write.mode("overwrite").partitionBy("month_date").parquet(path))
+     .repartitionByRange("month_date", "sku").write.mode("overwrite").partitionBy("month_date").parquet(path))

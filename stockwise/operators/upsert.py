@@ -48,15 +48,15 @@ def invalid_key_reason(key: str) -> Column:
 
 
 def rejection_report(df: DataFrame, key: str, id_col: str, examples: int = 3) -> DataFrame:
-    """Count of rejected rows per reason with up to ``examples`` example ids
-    (examples picked by rank <= n before collecting, so the list is bounded)."""
+    """Count of rejected rows per reason with the ``examples`` smallest example
+    ids. The rank filter lets each task send on only its first rows of a reason."""
     bad = df.withColumn("reason", invalid_key_reason(key)).where(F.col("reason").isNotNull())
-    w = Window.partitionBy("reason").orderBy(id_col)
-    ranked = bad.withColumn("__r", F.row_number().over(w))
-    return ranked.groupBy("reason").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("__r") <= examples, F.struct(
-            "__r", F.col(id_col).cast("string").alias("v"))))), lambda s: s["v"]), ",").alias("examples"))
+    counts = bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    first = (bad.select("reason", id_col).withColumn("__r", F.row_number().over(Window.partitionBy("reason").orderBy(id_col)))
+             .where(F.col("__r") <= examples).groupBy("reason")
+             .agg(F.array_sort(F.collect_list(F.struct("__r", F.col(id_col).cast("string").alias("v")))).alias("e")))
+    return counts.join(first, "reason").select(
+        "reason", "n", F.array_join(F.transform("e", lambda s: s["v"]), ",").alias("examples"))
 
 
 # U1 / U5 / U6 / U7 / U8 / U9 / U10 --------------------------------------------------------
@@ -192,7 +192,8 @@ def date_by_sku(df: DataFrame, date_col: str, sku_col: str, value_col: str) -> D
 
 
 def add_surrogate_id(df: DataFrame, key: str, name: str = "id") -> DataFrame:
-    return df.withColumn(name, F.xxhash64(F.col(key)))
+    """The key's MD5, 128 bits: 64 would merge rows at about 10^10 keys."""
+    return df.withColumn(name, F.md5(F.col(key).cast("string")))
 
 
 # versioned table protocol -------------------------------------------------------------

@@ -205,7 +205,7 @@ def u16_watermarks(spark, sf_dir):
                          .select(F.lit("sales_items").alias("table_name"), "watermark")))
 
 
-@register("U20_surrogate_ids")
+@register("U20_surrogate_ids", oracle="SELECT sku, md5(sku) AS id FROM product")
 def u20_ids(spark, sf_dir):
     return U.add_surrogate_id(views(spark, sf_dir).product.select("sku"), "sku")
 

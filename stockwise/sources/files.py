@@ -67,8 +67,9 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
 
 # S7 / S8 / S9 -----------------------------------------------------------------
 def write_by_year(df: DataFrame, path: str, date_col: str = "issueddate") -> None:
-    (df.withColumn("year", F.year(date_col)).repartition("year")
-     .sortWithinPartitions(date_col).write.mode("overwrite").partitionBy("year").parquet(path))
+    """A year's rows are dealt to tasks by ranges of the date, so a year is not one task."""
+    (df.withColumn("year", F.year(date_col)).repartitionByRange("year", date_col)
+     .sortWithinPartitions("year", date_col).write.mode("overwrite").partitionBy("year").parquet(path))
 
 
 def read_years(spark: SparkSession, path: str, start: dt.date, end: dt.date, date_col: str = "issueddate"):
