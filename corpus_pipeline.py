@@ -56,7 +56,7 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences."""
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), PACK_TOKENS)
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), PACK_TOKENS, added=True)
 
 
 STAGES = [("quality_rules", quality), ("ngram_jaccard_join", near_duplicate_groups), ("suffix_array_dedup", repeated_passages),

@@ -96,18 +96,21 @@ def odd_spaces(data: np.ndarray) -> np.ndarray:
 class ChunkEncoder:
     """Token ids of texts by encoding each distinct chunk between sure
     boundaries once. Texts with other than ASCII white space are encoded whole.
+    With ``added``, added tokens get their own ids, and texts that hold one are
+    encoded whole too; else they are ordinary text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not added
         # The same merges in an engine that is quicker on short strings: byte-level BPE applies
         # merges in the order of their ids, so the vocabulary alone defines them.
         special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
+        self.added = sorted(special) if added else []
         ranks = {bytes(BYTE_OF[c] for c in piece): i for piece, i in self.tok.get_vocab().items() if piece not in special}
         self.quick = tiktoken.Encoding("quick", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.table = ChunkTable(self._learn, CACHE_CHUNKS)
@@ -127,6 +130,8 @@ class ChunkEncoder:
         starts = np.flatnonzero(cut)
         whole = np.zeros(len(texts), bool)
         whole[np.searchsorted(bounds, odd_spaces(data), "right") - 1] = True
+        for token in self.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
         chunks = chunk_array(data, starts)
         per_text = np.diff(np.searchsorted(starts, bounds))
         if whole.any():     # only texts that are cut need their chunks
@@ -148,13 +153,13 @@ class ChunkEncoder:
         return flat, sizes
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, added: bool = False) -> ChunkEncoder:
+    if (path, added) not in _ENCODERS:
+        _ENCODERS[path, added] = ChunkEncoder(path, added)
+    return _ENCODERS[path, added]
 
 
 def place(lengths: np.ndarray, seq_len: int, linear: float, quadratic: float) -> tuple[list[tuple[int, int, int, int]], list[int], np.ndarray]:
@@ -195,13 +200,15 @@ def place(lengths: np.ndarray, seq_len: int, linear: float, quadratic: float) ->
 
 
 def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int = 1, linear: float = 1.0,
-         quadratic: float = 1.0 / 2048, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+         quadratic: float = 1.0 / 2048, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False,
+         added: bool = False) -> DataFrame:
     """One row per piece: document, first id and length, CRC-32 of the piece's
     ids (little-endian unsigned 32-bit), sequence and place there; with
-    ``with_ids`` also the ids."""
+    ``with_ids`` also the ids. ``added``: ids as by tokenizers' plain call, in
+    which added tokens in a text count; else they are ordinary text."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, made = encoder(tokenizer_path), (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
+        enc, made = encoder(tokenizer_path, added), (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         block: list[tuple[int, int, int, np.ndarray]] = []     # doc, start of tail, tokens of doc, ids
         held = 0
 

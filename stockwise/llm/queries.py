@@ -104,4 +104,4 @@ def op9_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op10_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), 2048)
+    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), 2048, added=True)

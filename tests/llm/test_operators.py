@@ -10,7 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from stockwise.llm import chat_format, fingerprints, license_scan, ngram_join, packing, pii, quality_rules, sentencepiece_codec, suffix_dedup, toxicity
+from stockwise.llm import chat_format, fingerprints, license_scan, ngram_join, packing, pii, quality_rules, queries, sentencepiece_codec, suffix_dedup, toxicity
 
 SF = "/root/testdata/sf0.001"
 BPE, SP = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -247,3 +247,22 @@ def test_sentencepiece_viterbi_and_round_trip(odd):
     back = Counter((r.doc_id, r.text) for r in sentencepiece_codec.decode(coded, SP).collect())
     assert back == Counter(texts(odd))
     assert sentencepiece_codec.encode(odd.limit(0), SP, digest=True).collect() == []
+
+
+def test_packing_gives_added_tokens_their_ids(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(BPE)
+    said = ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|><|endoftext|>b\n", "plain words <|endoftext| >", "after it"]
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string").coalesce(1)
+    got = defaultdict(list)
+    for r in packing.pack(docs, BPE, 256, with_ids=True, added=True).collect():
+        got[r.doc_id].append((r.start, r.ids))
+    want = {k: tok.encode(t, add_special_tokens=False).ids + [1] for k, t in enumerate(said)}
+    assert {k: [x for _, ids in sorted(v) for x in ids] for k, v in got.items()} == want and 50256 in want[0]
+    # the registered query too
+    path = str(tmp_path / "documents.parquet")
+    docs.write.parquet(path)
+    rows = queries.op10_cost_balanced_packing(spark, str(tmp_path)).collect()
+    assert sum(r.length for r in rows) == sum(map(len, want.values()))
+    assert all(r.ids_crc32 == zlib.crc32(np.array(want[r.doc_id][r.start:r.start + r.length], "<u4").tobytes()) for r in rows)
