@@ -5,7 +5,9 @@ characters). Each piece is hashed into a wide vector; the fingerprint is the sum
 of the vectors modulo 2^60, lane by lane. So it does not depend on the order of
 pieces, and pieces are inserted or deleted by adding or subtracting their
 vectors. Lanes: the number of pieces; four sums of 60-bit hashes, for equality;
-thirty sums of hash bits, each of four 15-bit counters, for likeness.
+sixty sums of hash bits, each of two 30-bit counters, for likeness. A piece has
+two characters or more, but for the last, so no text that fits a row (2^31 bytes)
+fills a counter; fingerprints may be combined up to 2^30 - 1 pieces in all.
 
 A counter's sign sum (``2 c - n``) is a linear sketch: the mean square of the
 differences of two fingerprints' sign sums estimates the size of the multiset
@@ -27,8 +29,10 @@ from stockwise.llm.common import let
 
 PIECE = r"[^\n.!?]{1,200}[\n.!?]*|[\n.!?]+"
 MASK = (1 << 60) - 1
-LANE = 15                                            # bits of a counter
-SPREAD = sum(1 << (LANE * k) for k in range(4))      # four counters in a sum
+LANE = 30                                            # bits of a counter
+COUNTERS = 60 // LANE                                # counters in a sum
+SPREAD = sum(1 << (LANE * k) for k in range(COUNTERS))
+HEX = 60 // 4                                        # hexadecimal digits of a lane
 SUMS, SKETCHES = 4, 2
 LANES = 1 + SUMS + SKETCHES * LANE
 BUCKET_ROWS, MAX_BUCKETS = 1000, 10_000
@@ -62,7 +66,7 @@ def combined(a: Column, b: Column, sign: int = 1) -> Column:
 
 
 def as_text(v: Column) -> Column:
-    return F.array_join(F.transform(v, lambda x: F.lpad(F.lower(F.hex(x)), LANE, "0")), "")
+    return F.array_join(F.transform(v, lambda x: F.lpad(F.lower(F.hex(x)), HEX, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -70,7 +74,7 @@ def likeness(a: Column, b: Column) -> Column:
     def signs(v: Column) -> Column:
         packed = F.slice(v, 2 + SUMS, SKETCHES * LANE)
         count = lambda x, k: F.shiftright(x, LANE * k).bitwiseAND(F.lit((1 << LANE) - 1))
-        return F.flatten(F.transform(packed, lambda x: F.array(*[(2 * count(x, k) - v[0]).cast("double") for k in range(4)])))
+        return F.flatten(F.transform(packed, lambda x: F.array(*[(2 * count(x, k) - v[0]).cast("double") for k in range(COUNTERS)])))
 
     def square(v: Column) -> Column:
         return F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)

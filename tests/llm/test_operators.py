@@ -266,3 +266,15 @@ def test_packing_gives_added_tokens_their_ids(spark, tmp_path):
     rows = queries.op10_cost_balanced_packing(spark, str(tmp_path)).collect()
     assert sum(r.length for r in rows) == sum(map(len, want.values()))
     assert all(r.ids_crc32 == zlib.crc32(np.array(want[r.doc_id][r.start:r.start + r.length], "<u4").tobytes()) for r in rows)
+
+
+def test_fingerprint_counters_hold_long_texts(spark):
+    lines = [f"line {i}" for i in range(100_000)]
+    said = {"one": lines, "edited": lines[:66_667] + [f"new {i}" for i in range(33_333)], "other": [f"row {i}" for i in range(100_000)],
+            "equal": ["same"] * 40_000, "equal_edited": ["same"] * 20_000 + ["else"] * 20_000}
+    v = spark.createDataFrame([tuple("\n".join(x) for x in said.values())], list(said)).select(*[fingerprints.vector(fingerprints.F.col(c)).alias(c) for c in said])
+    near = lambda a, b: fingerprints.likeness(fingerprints.F.col(a), fingerprints.F.col(b))
+    r = v.select(near("one", "edited").alias("edited"), near("one", "other").alias("other"), near("equal", "equal_edited").alias("equal"), "equal").first()
+    assert abs(r[0] - 2 / 3) < 0.15 and r[1] < 0.25 and abs(r[2] - 0.5) < 0.35
+    packed = r[3][1 + fingerprints.SUMS:]
+    assert r[3][0] == 40_000 and all((x >> fingerprints.LANE * k) & ((1 << fingerprints.LANE) - 1) in (0, 1, 39_999, 40_000) for x in packed for k in range(fingerprints.COUNTERS))
