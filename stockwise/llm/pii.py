@@ -12,8 +12,10 @@ given names) is put back at each mention.
 
 Collision check: the distinct entities of the table and their surrogates are
 compared by joins; an entity whose surrogate is itself an entity, or is also
-another's, is drawn again with the next tweak until none is left. Such redrawn
-entities go back to the documents that mention them by joins.
+another's, is drawn again with the next tweaks until none is left. Such redrawn
+entities go back to the documents that mention them by joins. Names are hashed,
+not permuted; redrawn ones get more syllables, so their space never ends. Another
+format's space can: more entities than it has free strings raise an error.
 
 Defined results: null text stays null, empty stays empty; text without entities
 is returned unchanged; repeated rows change alike; an empty table gives no rows;
@@ -27,6 +29,7 @@ import hashlib
 import hmac
 import re
 from collections.abc import Callable, Iterator
+from math import prod
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -121,12 +124,12 @@ def luhn(digits: str) -> int:
     return total % 10
 
 
-def _name_token(token: str, kind: str, key: bytes, tweak: str) -> str:
+def _name_token(token: str, kind: str, key: bytes, tweak: int) -> str:
     script = "cyrillic" if re.search("[а-яё]", token) else "latin"
     gender = kind[-1] if kind in ("given_m", "given_f") else ""
     parts = SYLLABLES[script]
-    n = 2 + (len(token) > 5)
-    value = _number(key, kind + tweak, token, len(parts) ** n * 3)
+    n = 2 + (len(token) > 5) + tweak.bit_length()
+    value = _number(key, kind + (f"#{tweak}" if tweak else ""), token, len(parts) ** n * 3)
     value, end = divmod(value, 3)
     made = ""
     for _ in range(n):
@@ -154,12 +157,39 @@ def surrogate(kind: str, canonical: str, key: bytes, tweak: int = 0) -> str:
     if kind == "secret":
         return "".join("0123456789abcdef"[d] for d in permuted([int(c, 16) for c in canonical], [16] * len(canonical), key, "secret" + t))
     if kind in ("given_m", "given_f", "surname"):
-        return _name_token(canonical, kind, key, t)
+        return _name_token(canonical, kind, key, tweak)
     keep = canonical.index("/") + 1 if "/" in canonical else 0      # country code
     digits = canonical[keep:]
     return canonical[:keep] + "".join(map(str, permuted([int(c) for c in digits], [10] * len(digits), key, kind + t)))
 
 
+_NAMES = ("given_m", "given_f", "surname")
+
+
+def space(kind: str, canonical: str) -> tuple[str, int] | None:
+    """The form whose strings can be surrogates of a redrawn entity, and how
+    many there are; None for names, which have no end of them."""
+    if kind in _NAMES:
+        return None
+    if kind == "email":
+        head, tld = canonical.rsplit(".", 1)
+        at = [next((k for k, a in enumerate(ALPHABETS) if c in a), -1) for c in head]
+        return "".join(c if k < 0 else "0aа\u00e9"[k] for c, k in zip(head, at)) + "." + tld, prod(len(ALPHABETS[k]) for k in at if k >= 0)
+    if kind == "ip":
+        parts = canonical.split(".")
+        if parts[0] in ("10", "127", "0"):
+            return parts[0], 256 ** 3
+        if canonical.startswith(("192.168.", "169.254.")):
+            return ".".join(parts[:2]), 256 ** 2
+        return "", 256 ** 4 - 3 * 256 ** 3 - 2 * 256 ** 2
+    if kind == "card":
+        return f"{len(canonical)} {luhn(canonical)}", 10 ** (len(canonical) - 1)
+    if kind == "secret":
+        return str(len(canonical)), 16 ** len(canonical)
+    code, _, digits = canonical.rpartition("/")
+    return f"{code}/{len(digits)}", 10 ** len(digits)
+
+
 def entities(text: str) -> list[tuple[int, int, list[tuple[int, int, str, str]]]]:
     """Spans of entities, left to right and apart; each with its parts: (start,
     end, kind, canonical form). Where patterns overlap, the earlier pattern of
@@ -231,34 +261,73 @@ def _mapped(texts: DataFrame, fn: Callable[[str | None, list | None], list[tuple
     return texts.mapInArrow(run, schema)
 
 
-def redrawn(docs: DataFrame, key: bytes, text_col: str = "text", most: int = 20) -> DataFrame:
+def _taken(rows: DataFrame, column: str) -> DataFrame:
+    """(kind, form, size, n): how many of the strings in ``column`` each form has."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(k, *s) for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if (s := space(k, v))]
+            kinds, forms, sizes = zip(*found) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(forms, pa.string()),
+                                              pa.array([min(n, 1 << 62) for n in sizes], pa.int64())], ["kind", "form", "size"])
+
+    return (rows.select("kind", column).mapInArrow(run, "kind string, form string, size long")
+            .groupBy("kind", "form", "size").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _require_room(known: DataFrame, kept: DataFrame, open_: DataFrame) -> None:
+    """Raises if a form has fewer free strings than entities still to be drawn."""
+    wanted = _taken(open_, "value").withColumnRenamed("n", "wanted")
+    used = _taken(known.select("kind", F.col("value").alias("made")).unionByName(kept.select("kind", "made")).distinct(), "made")
+    short = wanted.join(used, ["kind", "form", "size"], "left").where(F.col("wanted") > F.col("size") - F.coalesce("n", F.lit(0))).take(1)
+    if short:
+        r = short[0]
+        raise ValueError(f"no surrogates left for {r.kind} of form {r.form!r}: {r.size} strings, {r.n} taken, {r.wanted} more wanted")
+
+
+def redrawn(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     """(kind, value, tweak) of entities whose first surrogates collide with an
-    entity or with another surrogate; usually none."""
+    entity or with another surrogate; usually none. All surrogates differ in the
+    end; an error tells where a form has too few strings for that."""
     def found(text: str, _: None) -> list[tuple]:
         return [(k, v) for _, _, parts in entities(text) for _, _, k, v in parts]
 
     known = stored(_mapped(docs.select(F.col(text_col).cast("string").alias("text")), found, "kind string, value string").distinct(), "entities")
 
-    def drawn(rows: DataFrame, tweak: int) -> DataFrame:
+    def drawn(rows: DataFrame, tweaks: range) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 kinds, values = batch.column("kind").to_pylist(), batch.column("value").to_pylist()
-                made = [surrogate(k, v, key, tweak) for k, v in zip(kinds, values)]
-                yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("value"), pa.array(made, pa.string())], ["kind", "value", "made"])
-
-        return rows.select("kind", "value").mapInArrow(run, "kind string, value string, made string").withColumn("tweak", F.lit(tweak))
-
-    current = stored(drawn(known, 0), "surrogates-0")
-    for tweak in range(1, most + 1):
-        clash = current.join(known.select("kind", F.col("value").alias("made")), ["kind", "made"], "left_semi").select("kind", "value")
-        # of several entities with one surrogate the smallest keeps it
-        twice = current.groupBy("kind", "made").agg(F.min("value").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        clash = clash.unionByName(current.join(twice, ["kind", "made"]).where("value <> first").select("kind", "value")).distinct()
-        clash = stored(clash, f"clash-{tweak}")
-        if not clash.take(1):
-            break
-        current = stored(current.join(clash, ["kind", "value"], "left_anti").unionByName(drawn(clash, tweak), allowMissingColumns=False), f"surrogates-{tweak}")
-    return current.where("tweak > 0").select("kind", "value", "tweak")
+                for tweak in tweaks:
+                    made = []
+                    for k, v in zip(kinds, values):
+                        new = surrogate(k, v, key, tweak)
+                        made.append(new if not tweak or k in _NAMES or space(k, new) == space(k, v) else None)
+                    yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("value"), pa.array(made, pa.string()),
+                                                      pa.array([tweak] * len(made), pa.int32())], ["kind", "value", "made", "tweak"])
+
+        return rows.select("kind", "value").mapInArrow(run, "kind string, value string, made string, tweak int").where("made is not null")
+
+    def apart(rows: DataFrame) -> DataFrame:
+        """Of several entities with one surrogate the smallest keeps it; none is an entity."""
+        free = rows.join(known.select("kind", F.col("value").alias("made")), ["kind", "made"], "left_anti")
+        return free.groupBy("kind", "made").agg(F.min(F.struct("value", "tweak")).alias("one")).select("kind", "one.value", "made", "one.tweak")
+
+    first = stored(apart(drawn(known, range(1))), "surrogates-0")
+    open_ = stored(known.join(first, ["kind", "value"], "left_anti"), "clash-0")
+    moved, tweak, width = stored(first.limit(0), "redrawn-0"), 1, 1
+    while open_.take(1):
+        # a few tweaks singly, then more and more at once: a crowded form needs many
+        if tweak > 2:
+            _require_room(known, first.unionByName(moved), open_)
+            width *= 2
+        tries = drawn(open_, range(tweak, tweak + width))
+        tries = tries.join(first.unionByName(moved).select("kind", "made"), ["kind", "made"], "left_anti")
+        # the smallest entity has a surrogate, and each entity the first of those it has
+        new = apart(tries).groupBy("kind", "value").agg(F.min(F.struct("tweak", "made")).alias("one")).select("kind", "value", "one.made", "one.tweak")
+        moved = stored(moved.unionByName(new), f"redrawn-{tweak}")
+        open_ = stored(open_.join(moved, ["kind", "value"], "left_anti"), f"clash-{tweak}")
+        tweak += width
+    return moved.select("kind", "value", "tweak")
 
 
 def replace_pii(docs: DataFrame, key: str, text_col: str = "text", check: bool = True) -> DataFrame:
@@ -298,7 +367,7 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", check: bool =
 
 
 def _hashed(rows: DataFrame, text_col: str) -> DataFrame:
-    schema = rows.schema.add("h", "string")
+    schema = rows.select("*").schema.add("h", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

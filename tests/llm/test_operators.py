@@ -278,3 +278,24 @@ def test_fingerprint_counters_hold_long_texts(spark):
     assert abs(r[0] - 2 / 3) < 0.15 and r[1] < 0.25 and abs(r[2] - 0.5) < 0.35
     packed = r[3][1 + fingerprints.SUMS:]
     assert r[3][0] == 40_000 and all((x >> fingerprints.LANE * k) & ((1 << fingerprints.LANE) - 1) in (0, 1, 39_999, 40_000) for x in packed for k in range(fingerprints.COUNTERS))
+
+
+def surrogates_of(spark, said, pattern):
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    return [re.search(pattern, r.text).group() for r in pii.replace_pii(docs, "k").orderBy("doc_id").collect()]
+
+
+def test_pii_names_stay_apart(spark):
+    letters = "bcdfghjklm"
+    names = [f"{a}{b}{c}{d}y" for a in letters for b in letters for c in letters for d in letters]
+    made = surrogates_of(spark, [f"Mr. {x.capitalize()} came" for x in names], r"(?<=Mr\. )\w+")
+    assert len({x.lower() for x in made}) == 10_000 and not {x.lower() for x in made} & set(names)
+
+
+def test_pii_crowded_formats(spark):
+    # one-letter addresses: 676 strings, each entity and its surrogate take two
+    pairs = [f"{chr(97 + i // 26)}@{chr(97 + i % 26)}.com" for i in range(676)]
+    made = surrogates_of(spark, [f"write {x} now" for x in pairs[:330]], r"\S+@\S+")
+    assert len(set(made)) == 330 and not set(made) & set(pairs[:330])
+    with pytest.raises(ValueError, match="no surrogates left for email"):
+        surrogates_of(spark, [f"write {x} now" for x in pairs[:400]], r"\S+@\S+")
