@@ -30,13 +30,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one of smallest id.
-    Rows without an id stay; of rows that repeat an id one stays."""
-    # a key of its own for each row without an id, so that an anti join keeps them
-    keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string"))))
-    groups = near_duplicates(docs.where("doc_id is not null"))
-    gone = groups.where("component_id <> doc_id").select(F.col("doc_id").cast("string").alias("_key")).distinct()
-    return keyed.join(gone, "_key", "left_anti").dropDuplicates(["_key"]).select(*docs.columns)
+    """One row of each group of near duplicates, the one of smallest id, rows
+    without an id last. Rows count by a key of their own, so ids may be null or
+    repeat: different texts stay, whatever their ids."""
+    keyed = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    groups = near_duplicates(keyed, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    first = groups.join(keyed.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(rank).alias("first"))
+    return keyed.join(first.select("first._row"), "_row", "left_semi").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

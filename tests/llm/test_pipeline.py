@@ -20,3 +20,17 @@ def test_stages_on_odd_rows(spark, odd):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, odd, SF).collect()
         assert stage(spark, odd.limit(0), SF).collect() == []
+
+
+def test_one_copy_outlives_null_and_repeated_ids(spark):
+    def said(k):
+        return " ".join(f"{k}word{i}" for i in range(100))
+
+    rows = [(1, said("a")), (None, said("a")), (None, said("b")), (None, said("b")), (2, said("c")), (2, said("d")), (2, said("c")),
+            (None, said("e")), (None, said("f")), (9, said("g")), (4, said("g")), (None, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, "en", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, n_chars long")
+    kept = stored(corpus_pipeline.near_duplicate_groups(spark, docs, SF), "once")
+    left = corpus_pipeline.repeated_passages(spark, kept, SF).collect()
+    want = [(1, "a"), (None, "b"), (2, "c"), (2, "d"), (None, "e"), (None, "f"), (4, "g")]
+    key = lambda r: (r[1], r[0] or 0)
+    assert sorted([(r.doc_id, r.text) for r in left if r.text], key=key) == sorted([(i, said(k)) for i, k in want], key=key)
