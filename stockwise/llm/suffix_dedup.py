@@ -1,8 +1,8 @@
-"""Exact removal of repeated byte strings by distributed prefix doubling.
+"""Exact removal of repeated byte strings by winnowing anchors and window counts.
 
 Every byte covered by a ``length``-byte string that also starts anywhere else in
-the table goes. All windows of ``length`` bytes cannot be sorted at scale (one
-row per byte), so the suffixes that Spark ranks are a content-defined sample:
+the table goes. Ranking all suffixes by prefix doubling takes one row per byte;
+this takes a content-defined sample of them and counts instead:
 
 1. *Anchors.* In each window the position of the smallest 32-byte-gram hash is
    its anchor. It depends on the window's bytes alone, so equal windows have
@@ -10,16 +10,15 @@ row per byte), so the suffixes that Spark ranks are a content-defined sample:
    windows that share it (their *span*), about one row per 185 bytes.
 2. *Equal spans.* Spans whose bytes occur twice are repeated in all windows.
    This collapses copies before anything is compared, by counting.
-3. *Prefix doubling.* The distinct spans that share an anchor gram are ranked by
-   the bytes to the right of the anchor, and to the left: blocks of
-   ``length/8`` bytes are named, then the pair (rank, rank at the offset) is
-   ranked again at offsets 1, 2 and 4 blocks. A span leaves when its rank is
-   unique; the ranks reached bound the windows that can still repeat.
+3. *Block prefixes.* For the distinct spans that share an anchor gram, blocks of
+   ``length/8`` bytes to the right of the anchor, and to the left, are named by a
+   byte each; equal prefixes of 1, 2, 4 and 8 names are counted. A span leaves
+   when its prefix is unique; the lengths reached bound the windows that can
+   still repeat. This is a filter: no ranks are sorted or joined.
 4. *Windows* within those bounds are named by 95-bit hashes and counted. Grams
    with very many distinct spans are salted: a salted group of two already
    proves a repeat, only the rest is compared across salts.
 
-Ranks are names (hashes) rather than dense numbers, since only equality counts.
 Nothing is capped; no group is gathered in one task or on the driver.
 
 Defined results: null text is empty; texts shorter than ``length`` stay whole;
@@ -195,10 +194,9 @@ def _anchors(rows: DataFrame, length: int) -> DataFrame:
 
 def _ranked(spans: DataFrame, length: int) -> DataFrame:
     """(sp, most_r, most_l): bytes that a span's context to either side can at
-    most share with another span of its gram. Each round ranks the pair (rank so
-    far, rank at the offset), which the packed block names spell up to twice the
-    offset, and goes on with spans whose rank is not unique. A last round ranks
-    the prefixes between the powers of two, so the bounds are exact to a block."""
+    most share with another span of its gram. Each round counts equal prefixes of
+    the packed block names, twice as long as before, and goes on with spans whose
+    prefix is not unique. A last round counts the prefixes between the powers of two, so the bounds are exact to a block."""
     step, level = length // BLOCKS, 1
     sides = F.explode(F.array(*[F.struct(F.lit(c).alias("side"), F.col(c).alias("names")) for c in ("r", "l")]))
     left = spans.select("sp", "gram", sides.alias("s")).select("sp", "gram", "s.*")
