@@ -26,6 +26,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``stored``, and the shuffle files that made the table go once it is
+    written. ``df`` itself is not to be run again."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return stored(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def let(value: Column, body) -> Column:
     """``body(v)`` with ``value`` evaluated once per row: a lambda variable
     holds it, so nested lambdas do not evaluate ``value`` again."""
