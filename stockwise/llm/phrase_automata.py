@@ -9,8 +9,8 @@ the same one) goes. Documents are dealt into blocks of about ``BLOCK_BYTES``:
    Anchors, about one in seven words, are counted over all documents; only those
    that stand twice can lie in a repeated window.
 2. *Passages confirmed.* Windows with a recurring anchor are named by 95-bit
-   hashes and counted over all blocks, one row a name and block, with the first
-   place of each.
+   hashes and counted over all blocks, one row a name and block, with the document
+   that has it first.
 3. *Automata.* A block's shard holds the phrases of its confirmed windows, one
    letter of 64 a word. All documents of the block are streamed through it as such
    letters; windows around the phrases found are looked up among the block's
@@ -21,8 +21,8 @@ the input and no automaton is sent to all tasks. Texts are shuffled by block
 twice. A name that stands in every block makes one row a block, never one a copy.
 
 Defined results: null text has no words; texts shorter than a window stay whole;
-rows of one id are ordered by a hash of their text, a null id comes last; of rows
-equal in id and text the first keeps its words; an empty table gives no rows; other
+rows of one id are in an order that hashes of their texts give, null ids come last;
+of rows equal in id and text one keeps its words; an empty table gives no rows; other
 columns are ignored. Rows equal in both id and text meet in one block.
 """
 
@@ -159,7 +159,7 @@ def letters(words: Words) -> np.ndarray:
     return (words.hash >> U(64 - LETTER_BITS)).astype(np.int64)
 
 
-WINDOWS = "block int, w long, v int, n int, none boolean, k long, h long, at int, phrase long"
+WINDOWS = "block int, w long, v int, n int, none boolean, k long, phrase long"
 
 
 def _confirmed(rows: DataFrame, phrases: DataFrame, length: int) -> DataFrame:
@@ -188,12 +188,11 @@ def _confirmed(rows: DataFrame, phrases: DataFrame, length: int) -> DataFrame:
         text = pa.array(words.text[at])
         return pa.table({
             "block": table.column("block").take(text), "w": w[first], "v": v[first], "n": n.astype(np.int32),
-            "none": table.column("none").take(text), "k": table.column("k").take(text), "h": table.column("h").take(text),
-            "at": (at - words.first[words.text[at]]).astype(np.int32), "phrase": spelled})
+            "none": table.column("none").take(text), "k": table.column("k").take(text), "phrase": spelled})
 
     windows = rows.groupBy("block").cogroup(phrases.groupBy("block")).applyInArrow(run, WINDOWS)
     same = Window.partitionBy("w", "v")
-    place = F.struct("none", "k", "h", "at", "block")
+    place = F.struct("none", "k", "block")       # inside a block the order of its documents holds
     seen = windows.select("block", "w", "v", "n", "phrase", F.min(place).over(same)["block"].alias("home"), F.sum("n").over(same).alias("all"))
     here = F.col("home") == F.col("block")
     return seen.where((F.col("all") > 1) & ~(here & (F.col("n") == 1))).select("block", "w", "phrase", here.alias("here"))
