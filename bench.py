@@ -15,7 +15,9 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "O4_forecast_plan",          # flagship: forecast chain -> stock/cap/price/BOM -> plan
+    "O4_forecast_plan_seasonal",  # flagship: seasonal forecast chain -> stock/cap/price/BOM -> plan
+    "O4_forecast_plan",          # the same from the linear step on
+    "T3_forecast_sarima",
     "T6_forecast_chain_capped",
     "A1_sales_summary_product",
     "A8_latest_unit_price",

@@ -173,19 +173,20 @@ def apply_cap(forecasts: DataFrame, caps: DataFrame) -> DataFrame:
 
 
 def forecast_chain(arrays: DataFrame, method: str = "linear", steps: int = 12,
-                   carry: tuple[str, ...] = ()) -> DataFrame:
+                   carry: tuple[str, ...] = (), params: tuple[float, float] | None = None) -> DataFrame:
     """Fallback chain SARIMA -> linear -> last year, recording the method.
 
     Evaluated per SKU row in one pass (no union, no anti join): each step
     takes the first method that produced a value. ``method='linear'`` (the
     deterministic chain the oracle checks) starts at the linear step;
-    ``'auto'`` first tries SARIMA (``mapInPandas`` over the same rows).
+    ``'auto'`` first tries SARIMA (``mapInPandas`` over the same rows), fitted
+    or with given ``params``.
     """
     extra: tuple[str, ...] = ()
     if method == "auto":
         from stockwise.operators.sarima import with_sarima
 
-        arrays = with_sarima(arrays, steps)
+        arrays = with_sarima(arrays, steps, params)
         extra = ("sarima",)
     elif method not in ("linear", "last_year"):
         raise ValueError(method)
@@ -200,14 +201,15 @@ def forecast_chain(arrays: DataFrame, method: str = "linear", steps: int = 12,
     return _finish(df, qty, which, carry)
 
 
-def forecasts_from_profile(profile: DataFrame, method: str = "linear", steps: int = 12) -> DataFrame:
+def forecasts_from_profile(profile: DataFrame, method: str = "linear", steps: int = 12,
+                           params: tuple[float, float] | None = None) -> DataFrame:
     """T7 over the single-pass SKU profile: valid SKUs -> quality gate ->
     chain -> cap, carrying the cap and price columns along (no joins)."""
     arrays = profile.where(F.col("valid")).select("sku", "first_mi", "last_mi", "y_u", "max_monthly_sales",
                                                   "unit_price")
     passed = quality_filter(arrays).where(F.col("reject_reason").isNull()).select(
         "sku", "first_mi", "last_mi", "y_u", "max_monthly_sales", "unit_price")
-    fc = forecast_chain(passed, method, steps, carry=("max_monthly_sales", "unit_price"))
+    fc = forecast_chain(passed, method, steps, carry=("max_monthly_sales", "unit_price"), params=params)
     cap = F.col("max_monthly_sales")
     return fc.withColumn("forecast_qty", F.when(cap > 0, F.least("forecast_qty", cap))
                          .otherwise(F.col("forecast_qty")))

@@ -15,6 +15,7 @@ from stockwise.config import AS_OF, PLAN_MONTH, PLAN_YEAR
 from stockwise.operators import inventory as INV
 from stockwise.operators import replenish as R
 from stockwise.operators import sales as S
+from stockwise.operators import sarima
 from stockwise.operators import series as T
 from stockwise.plans.common import AS_OF_SQL, avg_sql, views
 from stockwise.plans.registry import register
@@ -160,12 +161,22 @@ FROM plan_in"""
 
 ALL = {**CHAIN, **STOCK, **PLAN}
 
+# The chain that starts at the seasonal model, with given parameters: SQL has no optimiser.
+SEASONAL_PARAMS = (-0.4, -0.55)
+SEASONAL = {
+    **{k: v for k, v in CHAIN.items() if k != "capped"}, **sarima.forecast_sql(*SEASONAL_PARAMS),
+    "chained": """
+SELECT l.sku, l.step, l.forecast_date, coalesce(s.forecast_qty, l.forecast_qty) AS forecast_qty,
+       CASE WHEN s.sku IS NULL THEN 'linear' ELSE 'sarima' END AS method
+FROM lin l LEFT JOIN sar s ON s.sku = l.sku AND s.step = l.step""",
+    "capped": CHAIN["capped"].replace("FROM lin l", "FROM chained l"), **STOCK, **PLAN}
 
-def _sel(*names: str) -> dict[str, str]:
+
+def _sel(*names: str, of: dict[str, str] = ALL) -> dict[str, str]:
     """The named CTEs plus everything defined before them (dependency order)."""
-    keys = list(ALL)
+    keys = list(of)
     last = max(keys.index(n) for n in names)
-    return {k: ALL[k] for k in keys[: last + 1]}
+    return {k: of[k] for k in keys[: last + 1]}
 
 
 # ---- Spark side helpers -----------------------------------------------------
@@ -174,16 +185,16 @@ def _arrays(spark, sf_dir):
     return T.sku_month_arrays(T.forecast_sales(v.sales_items, AS_OF))
 
 
-def _profile_forecasts(spark, sf_dir):
+def _profile_forecasts(spark, sf_dir, method="linear", params=None):
     """Single-pass path: one scan of sales_items feeds validity, series, cap
     and price (see operators/profile.py)."""
     from stockwise.operators.profile import sku_profile
 
-    return T.forecasts_from_profile(sku_profile(views(spark, sf_dir).sales_items, AS_OF), method="linear")
+    return T.forecasts_from_profile(sku_profile(views(spark, sf_dir).sales_items, AS_OF), method=method, params=params)
 
 
-def _capped(spark, sf_dir):
-    return _profile_forecasts(spark, sf_dir).drop("max_monthly_sales", "unit_price")
+def _capped(spark, sf_dir, method="linear", params=None):
+    return _profile_forecasts(spark, sf_dir, method, params).drop("max_monthly_sales", "unit_price")
 
 
 def _stock(spark, sf_dir):
@@ -191,9 +202,9 @@ def _stock(spark, sf_dir):
     return INV.stock_by_sku(v.product, v.inventory_quant, v.location)
 
 
-def _plan(spark, sf_dir, rule="reference", year=PLAN_YEAR, month=PLAN_MONTH):
+def _plan(spark, sf_dir, rule="reference", year=PLAN_YEAR, month=PLAN_MONTH, method="linear", params=None):
     v = views(spark, sf_dir)
-    mf = T.forecast_for(_profile_forecasts(spark, sf_dir), year, month)   # carries cap and price
+    mf = T.forecast_for(_profile_forecasts(spark, sf_dir, method, params), year, month)   # carries cap and price
     return R.forecast_plan(mf, _stock(spark, sf_dir), None, None, INV.has_bom(v.product, v.bom_line),
                            year, month, rule=rule)
 
@@ -512,14 +523,50 @@ def o15_snapshot(spark, sf_dir):
     return INV.daily_stock_snapshot(views(spark, sf_dir).inventory_quant, AS_OF)
 
 
-# ---- SARIMA (rows-only in the driver; own numeric test in tests/) ----------
+# ---- the whole chain, seasonal model first ---------------------------------
+# Fitted models have no SQL form (rows-only in the driver; numeric tests in tests/); with given
+# parameters the same recursion is an oracle for every step of the chain.
+def _passed(spark, sf_dir):
+    return T.quality_filter(_arrays(spark, sf_dir)).where(F.col("reject_reason").isNull()).select("sku", "first_mi", "last_mi", "y_u")
+
+
 @register("T3_forecast_sarima")
 def t3_sarima(spark, sf_dir):
-    arrays = T.quality_filter(_arrays(spark, sf_dir)).where(F.col("reject_reason").isNull())
-    from stockwise.operators.sarima import forecast_sarima
-    return forecast_sarima(arrays.select("sku", "first_mi", "last_mi", "y_u"))
+    return sarima.forecast_sarima(_passed(spark, sf_dir))
+
+
+@register("T3_forecast_sarima_given", oracle=f"""
+SELECT s.sku, s.step, {_month_end('p.last_mi + s.step')} AS forecast_date, s.forecast_qty, 'sarima' AS method
+FROM sar s JOIN passed p ON p.sku = s.sku""", extra_ctes=_sel("sar", of=SEASONAL))
+def t3_sarima_given(spark, sf_dir):
+    return sarima.forecast_sarima(_passed(spark, sf_dir), params=SEASONAL_PARAMS)
 
 
 @register("T7_run_forecasts_auto")
 def t7_auto(spark, sf_dir):
     return T.run_forecasts(views(spark, sf_dir).sales_items, AS_OF, method="auto")
+
+
+@register("T6_forecast_chain_seasonal")
+def t6_seasonal(spark, sf_dir):
+    return _capped(spark, sf_dir, method="auto")
+
+
+@register("T6_forecast_chain_seasonal_given", oracle="SELECT * FROM capped", extra_ctes=_sel("capped", of=SEASONAL))
+def t6_seasonal_given(spark, sf_dir):
+    return _capped(spark, sf_dir, "auto", SEASONAL_PARAMS)
+
+
+@register("O4_forecast_plan_seasonal")
+def o4_plan_seasonal(spark, sf_dir):
+    return _plan(spark, sf_dir, method="auto")
+
+
+@register("O4_forecast_plan_seasonal_given", oracle=_plan_sql(PY_PRIORITY), extra_ctes=_sel("plan_in", of=SEASONAL))
+def o4_plan_seasonal_given(spark, sf_dir):
+    return _plan(spark, sf_dir, method="auto", params=SEASONAL_PARAMS)
+
+
+@register("O3_forecast_plan_sql_rule_seasonal_given", oracle=_plan_sql(SQL_PRIORITY), extra_ctes=_sel("plan_in", of=SEASONAL))
+def o3_plan_seasonal_given(spark, sf_dir):
+    return _plan(spark, sf_dir, rule="sql", method="auto", params=SEASONAL_PARAMS)

@@ -45,7 +45,8 @@ def test_sarima_likelihood_matches_dense_normal():
     params = np.array([0.3, -0.4])
     theta, ttheta = np.tanh(params)
     m = len(w)
-    sigma = SA._cov(SA._autocov(theta, ttheta, m), m)
+    lag = np.abs(np.subtract.outer(np.arange(m), np.arange(m)))
+    sigma = np.where(lag <= SA.LAGS, SA._autocov(theta, ttheta)[np.minimum(lag, SA.LAGS)], 0.0)
     # dense concentrated Gaussian likelihood
     inv = np.linalg.inv(sigma)
     ss = w @ inv @ w
@@ -74,6 +75,39 @@ def test_sarima_forecast_shape_and_seasonality():
     assert SA.sarima_forecast(y[:20], 12) is None
 
 
+def test_batched_fits_equal_single_ones_and_reach_the_maximum():
+    """Series of different lengths side by side; each fit is the best of a grid."""
+    rng = np.random.default_rng(4)
+    series = [np.round(np.abs(60 + 25 * np.sin(np.arange(n) * np.pi / 6) + rng.normal(0, 9, n))) for n in (24, 25, 40, 61, 30, 72)]
+    series += [np.zeros(30), np.arange(20.0)]
+    together = SA.sarima_forecasts(series)
+    assert together[6] is None and together[7] is None
+    for y, f in zip(series[:6], together):
+        alone = SA.sarima_forecast(y)
+        assert f is not None and (alone == f).all()
+        w = (y[13:] - y[12:-1]) - (y[1:-12] - y[:-13])
+        x, ok = SA.nelder_mead(lambda p, rows: SA.neg_logliks(p, np.repeat(w[:, None], len(rows), 1), np.full(len(rows), len(w))), np.full((1, 2), -0.3))
+        grid = min(SA.neg_loglik(np.array([a, b]), w) for a in np.linspace(-3, 3, 25) for b in np.linspace(-3, 3, 25))
+        assert ok[0] and SA.neg_loglik(x[0], w) <= grid + 0.05
+
+
+def test_recorded_seasonal_forecasts():
+    """A recorded series and its forecasts at given parameters, computed by a dense
+    best linear predictor."""
+    y = np.array([31, 28, 40, 52, 61, 70, 74, 69, 55, 47, 38, 33, 35, 30, 41, 55, 66, 72, 79, 70, 60, 49, 37, 36, 39, 33, 47, 58, 63, 77, 80, 75, 61, 52, 44, 37], float)
+    theta, ttheta = -0.4, -0.55
+    w = (y[13:] - y[12:-1]) - (y[1:-12] - y[:-13])
+    n = len(w) + 12
+    lag = np.abs(np.subtract.outer(np.arange(n), np.arange(n)))
+    full = np.where(lag <= SA.LAGS, SA._autocov(theta, ttheta)[np.minimum(lag, SA.LAGS)], 0.0)
+    ahead = full[len(w):, :len(w)] @ np.linalg.solve(full[:len(w), :len(w)], w)
+    path = list(y)
+    for x in ahead:
+        path.append(path[-1] + path[-12] - path[-13] + x)
+    want = np.rint(np.clip(path[-12:], 0, None)).astype(int).tolist()
+    assert SA.sarima_forecast(y, 12, (theta, ttheta)).tolist() == want
+
+
 def test_search_exact_and_threshold(spark):
     prod = spark.createDataFrame(
         [("SKU-1", "one", True, [1.0, 0.0]), ("SKU-2", "two", True, [0.9, 0.1]), ("SKU-3", "three", True, [0.0, 1.0]),
