@@ -1,10 +1,7 @@
-"""Product search: exact SKU, vector similarity, hybrid, LSH, embedding prep.
+"""Product search: exact SKU, vector similarity, hybrid, embedding prep.
 
-Vector search is distributed top-k: the query batch (size-checked, chunked
-above the limit) is broadcast, every catalogue partition computes cosine
-similarities with numpy in ``mapInPandas`` and keeps at most ``k`` hits per
-query, and a final ``row_number`` per query merges the partition-level
-top-k lists. No product x query pair table is ever materialised.
+Vector search joins blocks of queries with blocks of catalogue cells
+(``vector_index``); bounds leave out cells that cannot hold a hit.
 """
 
 from __future__ import annotations
@@ -18,21 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockwise.config import SEARCH_K, SEARCH_THRESHOLD
+from stockwise.operators import vector_index
 
-# Largest query batch broadcast at once (rows); larger batches are chunked.
-MAX_BROADCAST_QUERIES = 5000
-HIT_SCHEMA = T.StructType([
-    T.StructField("qid", T.LongType()), T.StructField("sku", T.StringType()),
-    T.StructField("similarity", T.DoubleType())])
-
-
-def catalogue_vectors(product: DataFrame) -> DataFrame:
-    """Active products with a vector; the norm is computed once here."""
-    v = F.transform("embedding", lambda x: x.cast("double"))
-    return (product.where(F.col("is_active") & F.col("embedding").isNotNull())
-            .select("sku", v.alias("vec"))
-            .withColumn("norm", F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))))
-
+PROBES = 16                    # cells that the approximate search visits
 
 # E1 ---------------------------------------------------------------------------
 def exact_sku(queries: DataFrame, product: DataFrame) -> DataFrame:
@@ -44,71 +29,14 @@ def exact_sku(queries: DataFrame, product: DataFrame) -> DataFrame:
 
 
 # E2 ---------------------------------------------------------------------------
-def _topk_partition(bq, k: int, threshold: float):
-    """Per-partition top-k; the query batch arrives via the broadcast ``bq``."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        qids, qmat = bq.value
-        qnorm = np.linalg.norm(qmat, axis=1)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pmat = np.vstack([np.asarray(v, dtype=float) for v in pdf["vec"]])
-            denom = np.outer(pdf["norm"].to_numpy(dtype=float), qnorm)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                sims = np.where(denom > 0, (pmat @ qmat.T) / denom, np.nan)
-            skus = pdf["sku"].to_numpy()
-            out_q, out_s, out_v = [], [], []
-            for j in range(qmat.shape[0]):
-                col = sims[:, j]
-                ok = np.where(col > threshold)[0]
-                if ok.size == 0:
-                    continue
-                if ok.size > k:
-                    ok = ok[np.argpartition(-col[ok], k - 1)[:k]]
-                out_q.extend([int(qids[j])] * ok.size)
-                out_s.extend(skus[ok].tolist())
-                out_v.extend(col[ok].tolist())
-            if out_q:
-                yield pd.DataFrame({"qid": out_q, "sku": out_s, "similarity": out_v})
-    return run
-
-
 def similar(queries: DataFrame, product: DataFrame, k: int = SEARCH_K,
             threshold: float = SEARCH_THRESHOLD) -> DataFrame:
-    """Top-k products per query by cosine similarity, keeping only
-    similarity strictly above ``threshold``; similarity clamped to [0, 1].
-
-    ``queries`` has (qid, vec). The batch is broadcast only after its size
-    is checked; larger batches are processed in chunks of
-    ``MAX_BROADCAST_QUERIES`` (each chunk is one more pass over the
-    catalogue, which stays partitioned).
-    """
-    spark = queries.sparkSession
-    cat = catalogue_vectors(product)
-    q = queries.where(F.col("vec").isNotNull()).select(
-        "qid", F.transform("vec", lambda x: x.cast("double")).alias("vec"))
-    n = q.count()
-    parts = []
-    for start in range(0, max(n, 1), MAX_BROADCAST_QUERIES):
-        chunk = q.orderBy("qid").offset(start).limit(MAX_BROADCAST_QUERIES) if n > MAX_BROADCAST_QUERIES else q
-        rows = chunk.collect()  # bounded by MAX_BROADCAST_QUERIES (checked above)
-        if not rows:
-            break
-        qids = np.array([r["qid"] for r in rows], dtype=np.int64)
-        qmat = np.vstack([np.asarray(r["vec"], dtype=float) for r in rows])
-        bq = spark.sparkContext.broadcast((qids, qmat))
-        parts.append(cat.mapInPandas(_topk_partition(bq, k, threshold), HIT_SCHEMA))
-        if n <= MAX_BROADCAST_QUERIES:
-            break
-    if not parts:
-        return spark.createDataFrame([], HIT_SCHEMA.add("rank", T.IntegerType()))
-    hits = parts[0]
-    for p in parts[1:]:
-        hits = hits.unionByName(p)
-    w = Window.partitionBy("qid").orderBy(F.col("similarity").desc(), "sku")
-    return (hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .withColumn("similarity", F.round(F.least(F.greatest("similarity", F.lit(0.0)), F.lit(1.0)), 6)))
+    """Top-k products per query (qid, vec) by cosine similarity, keeping only
+    similarity strictly above ``threshold``; similarity clamped to [0, 1]. Queries
+    and catalogue meet block by block (see ``vector_index``). A qid with several
+    vectors gets the hits of each; equal rows count once."""
+    placed, cells = vector_index.build(product.where(F.col("is_active")))
+    return vector_index.exact_top_k(queries, placed, cells, k, threshold)
 
 
 # E3 ---------------------------------------------------------------------------
@@ -128,6 +56,13 @@ def hybrid_search(queries: DataFrame, product: DataFrame, k: int = SEARCH_K,
 
 
 # E4 ---------------------------------------------------------------------------
+def ivf_similar(queries: DataFrame, product: DataFrame, k: int = SEARCH_K, threshold: float = SEARCH_THRESHOLD,
+                probes: int = PROBES, cells: int | None = None) -> DataFrame:
+    """Approximate ``similar``: the ``probes`` nearest cells, members ranked exactly."""
+    placed, found = vector_index.build(product.where(F.col("is_active")), cells)
+    return vector_index.probed_top_k(queries, placed, found, k, threshold, probes)
+
+
 def lsh_similar(queries: DataFrame, product: DataFrame, k: int = SEARCH_K, threshold: float = SEARCH_THRESHOLD,
                 bucket_length: float = 0.5, num_tables: int = 4, seed: int = 7) -> DataFrame:
     """Approximate candidates with Spark ML BucketedRandomProjectionLSH on

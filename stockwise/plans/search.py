@@ -1,8 +1,8 @@
 """Registered product-search queries (E1-E10) with oracles.
 
 Query batches derive from the data: one semantic query per embedding label
-(the label's centroid vector) and exact-SKU queries typed from the latest
-day's sales lines.
+(the label's centroid vector), one per product (its own vector: products like
+it) and exact-SKU queries typed from all sales lines.
 """
 
 from __future__ import annotations
@@ -19,7 +19,9 @@ FROM (SELECT label, pos, avg(CAST(e.embedding[pos + 1] AS DOUBLE)) AS v
       FROM embeddings e, range(0, 64) r(pos) GROUP BY 1, 2) t GROUP BY label"""
 SKU_QUERIES_SQL = """
 SELECT DISTINCT product_id + 1000 AS qid, ' ' || lower(items_product_sku) || ' ' AS text, NULL::DOUBLE[] AS vec
-FROM sales_items WHERE issueddate = (SELECT max(issueddate) FROM sales_items)"""
+FROM sales_items"""
+PRODUCT_QUERIES_SQL = """
+SELECT product_id AS qid, sku AS text, CAST(embedding AS DOUBLE[]) AS vec FROM product WHERE embedding IS NOT NULL"""
 CAT_SQL = """
 SELECT sku, name, CAST(embedding AS DOUBLE[]) AS vec FROM product WHERE is_active AND embedding IS NOT NULL"""
 
@@ -44,9 +46,7 @@ def centroid_queries(spark, sf_dir):
 
 
 def sku_queries(spark, sf_dir):
-    si = views(spark, sf_dir).sales_items
-    last_day = si.select(F.max("issueddate")).scalar()
-    return (si.where(F.col("issueddate") == last_day)
+    return (views(spark, sf_dir).sales_items
             .select((F.col("product_id") + 1000).alias("qid"),
                     F.concat(F.lit(" "), F.lower("items_product_sku"), F.lit(" ")).alias("text"),
                     F.lit(None).cast("array<double>").alias("vec")).distinct())
@@ -70,6 +70,23 @@ def e2_similar_low(spark, sf_dir):
     return E.similar(centroid_queries(spark, sf_dir), views(spark, sf_dir).product, threshold=0.3)
 
 
+def product_queries(spark, sf_dir):
+    p = views(spark, sf_dir).product
+    return p.where(F.col("embedding").isNotNull()).select(F.col("product_id").cast("long").alias("qid"), F.col("sku").alias("text"),
+                                                          F.col("embedding").cast("array<double>").alias("vec"))
+
+
+@register("E2_similar_products", oracle=_sim_sql(PRODUCT_QUERIES_SQL, 0.8))
+def e2_similar_products(spark, sf_dir):
+    """Every product asks for the products like it, at the default threshold."""
+    return E.similar(product_queries(spark, sf_dir), views(spark, sf_dir).product)
+
+
+@register("E2_similar_products_threshold_0_3", oracle=_sim_sql(PRODUCT_QUERIES_SQL, 0.3))
+def e2_similar_products_low(spark, sf_dir):
+    return E.similar(product_queries(spark, sf_dir), views(spark, sf_dir).product, threshold=0.3)
+
+
 @register("E3_hybrid_search", oracle=f"""
 WITH q AS (SELECT qid, trim(text) AS text, vec FROM ({SKU_QUERIES_SQL} UNION ALL {CENTROIDS_SQL}
                                                     UNION ALL SELECT -1, '   ', NULL::DOUBLE[]) a
@@ -92,6 +109,21 @@ def e4_lsh(spark, sf_dir):
     return E.lsh_similar(centroid_queries(spark, sf_dir), views(spark, sf_dir).product, threshold=0.3)
 
 
+@register("E4_ivf_similar")
+def e4_ivf(spark, sf_dir):
+    """These vectors hardly cluster, so that a low threshold needs 12 of 16 cells."""
+    return E.ivf_similar(product_queries(spark, sf_dir), views(spark, sf_dir).product, threshold=0.3, cells=16, probes=12)
+
+
+@register("E4_ivf_recall", oracle=f"SELECT count(*) AS n_exact, true AS recall_reached FROM ({_sim_sql(PRODUCT_QUERIES_SQL, 0.3)}) t")
+def e4_recall(spark, sf_dir):
+    """Whether the approximate search finds at least nine of ten of the exact hits."""
+    exact = E.similar(product_queries(spark, sf_dir), views(spark, sf_dir).product, threshold=0.3).select("qid", "sku")
+    found = e4_ivf(spark, sf_dir).select("qid", "sku", F.lit(1).alias("hit"))
+    return exact.join(found, ["qid", "sku"], "left").agg(
+        F.count(F.lit(1)).alias("n_exact"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_reached"))
+
+
 TEXT_SQL = """
 CASE WHEN trim(regexp_replace(nm, '\\s+', ' ', 'g')) IS NOT NULL AND trim(regexp_replace(nm, '\\s+', ' ', 'g')) <> ''
      THEN trim(regexp_replace(nm, '\\s+', ' ', 'g'))

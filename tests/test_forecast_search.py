@@ -123,6 +123,64 @@ def test_search_exact_and_threshold(spark):
     assert 3 not in by_q                                               # blank query -> nothing
 
 
+def _vector_tables(spark, n, m):
+    rng = np.random.default_rng(11)
+    spots = rng.normal(size=(6, 8))
+    cat = [(f"SKU-{i:05d}", bool(i % 9), None if i % 50 == 7 else [float(x) for x in spots[i % 6] + rng.normal(size=8) * 0.3]) for i in range(n)]
+    cat += [(f"SKU-T{i}", True, [1.0] + [0.0] * 7) for i in range(30)] + [("SKU-0", True, [0.0] * 8)]      # ties, and no direction
+    ask = [(i, [float(x) for x in spots[i % 6] + rng.normal(size=8) * 0.3]) for i in range(m)] + [(m, [2.0] + [0.0] * 7), (m + 1, None), (0, [1.0] * 8)]
+    return (spark.createDataFrame(cat, "sku string, is_active boolean, embedding array<double>"),
+            spark.createDataFrame(ask, "qid long, vec array<double>"), cat, ask)
+
+
+def _nearest(cat, ask, k, threshold):
+    live = sorted((s, np.array(v)) for s, a, v in cat if a and v is not None and any(v))
+    names, mat = [s for s, _ in live], np.vstack([v / np.linalg.norm(v) for _, v in live])
+    out = set()
+    for q, v in ask:
+        if v is not None:
+            sims = mat @ (np.array(v) / np.linalg.norm(v))
+            order = sorted((i for i in np.flatnonzero(sims > threshold)), key=lambda i: (-round(sims[i], 9), names[i]))[:k]
+            out |= {(q, names[i], r + 1) for r, i in enumerate(order)}
+    return out
+
+
+def test_block_search_equals_brute_force(spark, monkeypatch):
+    from stockwise.operators import vector_index as V
+
+    prod, queries, cat, ask = _vector_tables(spark, 400, 60)
+    for rows, asked in ((4096, 4096), (16, 7)):
+        monkeypatch.setattr(V, "BLOCK_ROWS", rows)
+        monkeypatch.setattr(V, "BLOCK_QUERIES", asked)
+        for threshold in (0.8, -0.5):
+            got = {(r.qid, r.sku, r["rank"]) for r in E.similar(queries, prod, 5, threshold).collect()}
+            assert got == _nearest(cat, ask, 5, threshold)
+    assert E.similar(queries, prod.limit(0)).collect() == [] and E.similar(queries.limit(0), prod).collect() == []
+    one = {(r.qid, r.sku, r["rank"]) for r in E.similar(queries.where("qid = 3"), prod, 5, 0.8).collect()}
+    assert one == {x for x in _nearest(cat, ask, 5, 0.8) if x[0] == 3}
+
+
+def test_many_queries_and_approximate_recall(spark):
+    prod, queries, cat, ask = _vector_tables(spark, 300, 20_000)
+    got = {(r.qid, r.sku, r["rank"]) for r in E.similar(queries, prod, 3, 0.8).collect()}
+    assert got == _nearest(cat, ask, 3, 0.8)
+    few = {(r.qid, r.sku) for r in E.ivf_similar(queries, prod, 3, 0.8, probes=3).collect()}
+    exact = {x[:2] for x in got}
+    assert len(few & exact) >= 0.9 * len(exact)
+
+
+def test_new_vectors_join_the_cells(spark):
+    from stockwise.operators import vector_index as V
+
+    prod, queries, cat, ask = _vector_tables(spark, 400, 30)
+    live = prod.where("is_active")
+    centres = V.fit_centres(V.vectors(live.where("sku < 'SKU-00200'"), "embedding", "sku"), 10)
+    placed = V.place(V.vectors(live.where("sku < 'SKU-00200'"), "embedding", "sku"), centres)
+    grown = placed.unionByName(V.place(V.vectors(live.where("sku >= 'SKU-00200'"), "embedding", "sku"), centres))
+    got = {(r.qid, r.sku, r["rank"]) for r in V.exact_top_k(queries, grown, V.summarise(grown, centres), 5, 0.5).collect()}
+    assert got == _nearest(cat, ask, 5, 0.5)
+
+
 def test_message_direction_and_merge(spark):
     conv = spark.createDataFrame([(99, "user@example.com", 0, 1, 10), (99, "user@example.com", 1, 2, 20)],
                                  "cid long, email string, mtype int, mid long, t long")
