@@ -107,28 +107,6 @@ def token_estimate(text) -> F.Column:
     return F.greatest(F.lit(1), F.floor(F.length(text) / 4)).cast("long")
 
 
-def assign_batches(df: DataFrame, text_col: str, max_items: int = 100, max_tokens: int = 8000) -> DataFrame:
-    """Pack rows into request batches (<= max_items, <= max_tokens estimated)
-    inside each partition; batch id = (partition, running number)."""
-    schema = T.StructType(df.schema.fields + [T.StructField("est_tokens", T.LongType()),
-                                              T.StructField("batch_id", T.StringType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-        part = TaskContext.get().partitionId() if TaskContext.get() else 0
-        batch, items, tokens = 0, 0, 0
-        for pdf in batches:
-            est = pdf[text_col].fillna("").str.len().floordiv(4).clip(lower=1).astype("int64")
-            ids = []
-            for t in est:
-                if items and (items + 1 > max_items or tokens + t > max_tokens):
-                    batch, items, tokens = batch + 1, 0, 0
-                items, tokens = items + 1, tokens + int(t)
-                ids.append(f"{part}-{batch}")
-            yield pdf.assign(est_tokens=est, batch_id=ids)
-    return df.mapInPandas(run, schema)
-
-
 # E8 ---------------------------------------------------------------------------
 def hashed_ngram_embedder(dim: int = 64, n: int = 3) -> Callable[[pd.Series], list]:
     """Default local embedding: L2-normalised hashed character n-grams."""

@@ -2,11 +2,8 @@
 
 Parquet has no MERGE, so an upsert is computed as a DataFrame
     latest(source) per key  ∪  target rows whose key is not in source
-(one shuffle on the key for each side) and written as a new version
-directory ``v=N``; the current version is the highest one whose
-``_SUCCESS`` marker exists (listed through the Hadoop FileSystem API), so
-readers never see a half-written table and the path being read is never
-overwritten. Re-running the same upsert yields the same table.
+(one shuffle on the key for each side). ``stored.KeyedTable`` writes it to the key
+buckets that a batch touches. Re-running the same upsert yields the same table.
 """
 
 from __future__ import annotations
@@ -14,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 INVALID_KEY_TOKENS = ("", "None", "False")
@@ -73,7 +70,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Seq
     of its key changes nothing.
     """
     src = source.where(_keys_not_null(source, keys))
-    src = dedup_keep_last(src, keys, order) if order else src.dropDuplicates(list(keys))
+    src = dedup_keep_last(src, keys, order)      # without an order, the largest by all columns
     cols = target.columns
     keep_from_target = set(preserve)
     if update_cols is not None:
@@ -81,7 +78,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Seq
     dated = [c for c in order if c in cols and c in src.columns]
     tgt_keep = [c for c in cols if c not in keys] if dated else [c for c in cols if c in keep_from_target or c == updated_at]
     # One target row per key (a target with repeated keys must not multiply rows).
-    t_one = dedup_keep_last(target, keys, order) if order else target.dropDuplicates(list(keys))
+    t_one = dedup_keep_last(target, keys, order)
     t_side = t_one.select(*keys, *[F.col(c).alias(f"__t_{c}") for c in tgt_keep], F.lit(True).alias("__exists"),
                           *[F.col(c).alias(f"__o_{c}") for c in dated])
     joined = src.join(t_side, list(keys), "left")
@@ -173,10 +170,6 @@ def sync_window(as_of: dt.datetime, last: dt.datetime | None, full: bool = False
     return None if start > as_of else (start, as_of)
 
 
-def state_table(spark: SparkSession, rows: list[tuple[str, dt.datetime]]) -> DataFrame:
-    return spark.createDataFrame(rows, "model_name string, last_synced timestamp")
-
-
 # U18 / U19 / U20 ------------------------------------------------------------------------
 def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
@@ -186,51 +179,6 @@ def export_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def date_by_sku(df: DataFrame, date_col: str, sku_col: str, value_col: str) -> DataFrame:
-    """Date x SKU in long form, one row per cell: every SKU, whatever their number."""
-    return df.groupBy(date_col, sku_col).agg(F.max(value_col).alias(value_col))
-
-
 def add_surrogate_id(df: DataFrame, key: str, name: str = "id") -> DataFrame:
     """The key's MD5, 128 bits: 64 would merge rows at about 10^10 keys."""
     return df.withColumn(name, F.md5(F.col(key).cast("string")))
-
-
-# versioned table protocol -------------------------------------------------------------
-def write_versioned(df: DataFrame, base: str, version: int | None = None) -> str:
-    """Write ``df`` as version ``version`` (default: current + 1) under
-    ``base``. A version becomes current only when its ``_SUCCESS`` marker
-    (written last by the output committer) exists, so readers never see a
-    partial table and the version being read is never overwritten."""
-    spark = df.sparkSession
-    if version is None:
-        current = current_version(spark, base)
-        version = 0 if current is None else current + 1
-    path = f"{base.rstrip('/')}/v={version}"
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
-def current_version(spark: SparkSession, base: str) -> int | None:
-    """Highest committed version under ``base`` (Hadoop FileSystem API, so
-    it works on HDFS / object stores as well as local paths)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return None
-    versions = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith("v=") and name[2:].isdigit() and fs.exists(
-                jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            versions.append(int(name[2:]))
-    return max(versions) if versions else None
-
-
-def read_current(spark: SparkSession, base: str) -> DataFrame:
-    v = current_version(spark, base)
-    if v is None:
-        raise FileNotFoundError(base)
-    return spark.read.parquet(f"{base.rstrip('/')}/v={v}")

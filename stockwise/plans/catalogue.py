@@ -13,10 +13,11 @@ from stockwise.functions import scalars as N
 from stockwise.operators import domain as DOM
 from stockwise.operators import inventory as INV
 from stockwise.operators import series as T
+from stockwise.operators.quantiles import exact_quantiles
 from stockwise.plans.common import AS_OF_SQL, views
 from stockwise.plans.forecast import SQL_PRIORITY, _plan_sql, _sel
 from stockwise.plans.registry import register
-from stockwise.session import shared_path
+from stockwise.session import cut_lineage, shared_path
 
 
 @register("F9_domain_filter", oracle="""
@@ -110,13 +111,12 @@ SELECT min(qty) AS min_qty, round(quantile_cont(qty, 0.25), 4) AS q25, round(qua
        round(stddev_samp(qty), 4) AS std
 FROM ({SKU_TOTALS}) t""")
 def a20_distribution(spark, sf_dir):
-    t = views(spark, sf_dir).sales_items.groupBy(F.col("items_product_sku").alias("sku")).agg(
-        F.sum("items_quantity").alias("qty"))
-    pct = F.percentile("qty", F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75, 0.9, 0.99)]))
-    return t.agg(F.min("qty").alias("min_qty"), pct.alias("p"), F.max("qty").alias("max_qty"),
-                 F.round(F.avg("qty"), 4).alias("mean"), F.round(F.stddev_samp("qty"), 4).alias("std")).select(
-        "min_qty", *[F.round(F.col("p")[i], 4).alias(n) for i, n in enumerate(["q25", "median", "q75", "q90", "q99"])],
-        "max_qty", "mean", "std")
+    t = cut_lineage(views(spark, sf_dir).sales_items.groupBy(F.col("items_product_sku").alias("sku")).agg(
+        F.sum("items_quantity").alias("qty")))
+    names = {"q25": 0.25, "median": 0.5, "q75": 0.75, "q90": 0.9, "q99": 0.99}
+    q = exact_quantiles(t, "qty", list(names.values())).get(None, [None] * len(names))
+    return t.agg(F.min("qty").alias("min_qty"), *[F.lit(None if x is None else round(x, 4)).cast("double").alias(n) for n, x in zip(names, q)],
+                 F.max("qty").alias("max_qty"), F.round(F.avg("qty"), 4).alias("mean"), F.round(F.stddev_samp("qty"), 4).alias("std"))
 
 
 ANNUAL = f"""
@@ -130,13 +130,36 @@ SELECT CASE WHEN annual >= 1000 THEN 'alta' WHEN annual >= 100 THEN 'media' ELSE
        round(quantile_cont(annual, 0.75), 4) AS q75
 FROM ({ANNUAL}) a GROUP BY 1""")
 def a21_rotation(spark, sf_dir):
+    return _rotation(spark, sf_dir)[0]
+
+
+def _rotation(spark, sf_dir):
     si = views(spark, sf_dir).sales_items.where(F.col("issueddate") >= F.add_months(F.lit(AS_OF), -12))
     a = si.groupBy(F.col("items_product_sku").alias("sku")).agg(F.sum("items_quantity").alias("annual"))
     cls = F.when(F.col("annual") >= 1000, "alta").when(F.col("annual") >= 100, "media").otherwise("baja")
-    return a.groupBy(cls.alias("rotation")).agg(
-        F.count(F.lit(1)).alias("skus"), F.round(F.avg("annual"), 4).alias("mean"),
-        F.round(F.percentile("annual", F.lit(0.25)), 4).alias("q25"),
-        F.round(F.percentile("annual", F.lit(0.75)), 4).alias("q75"))
+    a = cut_lineage(a.withColumn("rotation", cls))
+    quantiles = exact_quantiles(a, "annual", [0.25, 0.75], by="rotation")       # three classes
+
+    def of(i):
+        out = F.lit(None).cast("double")
+        for name, q in quantiles.items():
+            out = F.when(F.col("rotation") == name, F.lit(round(q[i], 4))).otherwise(out)
+        return out
+
+    classes = a.groupBy("rotation").agg(F.count(F.lit(1)).alias("skus"), F.round(F.avg("annual"), 4).alias("mean"))
+    return classes.select("rotation", "skus", "mean", of(0).alias("q25"), of(1).alias("q75")), a
+
+
+@register("A21_rotation_consistency", oracle=f"""
+SELECT count(*) AS skus, count(*) FILTER (WHERE annual <= 0) AS not_positive, count(*) FILTER (WHERE sku IS NULL) AS without_sku,
+       true AS classes_add_up
+FROM ({ANNUAL}) a""")
+def a21_consistency(spark, sf_dir):
+    """Whether the classes partition the SKUs and no total is out of range."""
+    classes, a = _rotation(spark, sf_dir)
+    told = classes.agg(F.sum("skus").alias("n")).first().n
+    return a.agg(F.count(F.lit(1)).alias("skus"), F.count_if(F.col("annual") <= 0).alias("not_positive"),
+                 F.count_if(F.col("sku").isNull()).alias("without_sku"), (F.count(F.lit(1)) == F.lit(told)).alias("classes_add_up"))
 
 
 @register("A22_overview_by_month_name", oracle="""
@@ -149,6 +172,17 @@ def a22_overview(spark, sf_dir):
     return cal.groupBy("month_name", "quarter").agg(F.sum("forecast_qty").cast("long").alias("total"))
 
 
+@register("A22_best_and_worst_month", oracle="""
+SELECT arg_max(month, (total, -month)) AS best_month, max(total) AS best_total, arg_min(month, (total, month)) AS worst_month,
+       min(total) AS worst_total
+FROM (SELECT month(forecast_date) AS month, CAST(sum(forecast_qty) AS BIGINT) AS total FROM capped GROUP BY 1) t""", extra_ctes=_sel("capped"))
+def a22_best(spark, sf_dir):
+    from stockwise.plans.forecast import _capped
+    months = _capped(spark, sf_dir).groupBy(F.month("forecast_date").alias("month")).agg(F.sum("forecast_qty").cast("long").alias("total"))
+    return months.agg(F.max_by("month", F.struct("total", -F.col("month"))).alias("best_month"), F.max("total").alias("best_total"),
+                      F.min_by("month", F.struct("total", "month")).alias("worst_month"), F.min("total").alias("worst_total"))
+
+
 @register("A23_inventory_summary", oracle="""
 SELECT count(*) FILTER (WHERE s.sku IS NOT NULL) AS found, count(*) FILTER (WHERE s.sku IS NULL) AS not_found,
        coalesce(sum(s.qty_available), 0.0) AS total_stock,
@@ -170,12 +204,10 @@ def a23_inventory(spark, sf_dir):
 @register("A26_counts_by_origin", oracle="""
 SELECT count(*) AS orders, count(*) FILTER (WHERE id < 0) AS historical, count(*) FILTER (WHERE id >= 0) AS live
 FROM (SELECT order_id AS id FROM sale_order
-      UNION ALL SELECT DISTINCT -CAST(('0x' || substr(md5(salesinvoiceid), 1, 15)) AS BIGINT) FROM sales_items
-      WHERE issueddate < DATE '1996-01-01') t""")
+      UNION ALL SELECT DISTINCT -CAST(('0x' || substr(md5(salesinvoiceid), 1, 15)) AS BIGINT) FROM sales_items) t""")
 def a26_origin(spark, sf_dir):
     v = views(spark, sf_dir)
-    hist = v.sales_items.where(F.col("issueddate") < F.lit("1996-01-01").cast("date")).select(
-        N.neg_id("salesinvoiceid").alias("id")).distinct()
+    hist = v.sales_items.select(N.neg_id("salesinvoiceid").alias("id")).distinct()
     ids = v.sale_order.select(F.col("order_id").alias("id")).unionByName(hist)
     return ids.agg(F.count(F.lit(1)).alias("orders"), F.count_if(F.col("id") < 0).alias("historical"),
                    F.count_if(F.col("id") >= 0).alias("live"))

@@ -103,9 +103,9 @@ def i12_transform(spark, sf_dir):
 
 @register("U18_csv_exports", oracle="""
 SELECT items_product_sku AS sku, count(*) AS n, round(sum(items_quantity), 3) AS total_quantity
-FROM sales_items WHERE issueddate >= DATE '2001-01-01' GROUP BY 1""")
+FROM sales_items GROUP BY 1""")
 def u18_exports(spark, sf_dir):
-    si = views(spark, sf_dir).sales_items.where(F.col("issueddate") >= F.lit("2001-01-01").cast("date"))
+    si = views(spark, sf_dir).sales_items
     base = shared_path(spark, f"exports/{uuid.uuid4().hex[:10]}")
     U.export_csv(si.select("issueddate", "items_product_sku", "items_quantity"), f"{base}/detail")
     summary = si.groupBy(F.col("items_product_sku").alias("sku")).agg(

@@ -10,8 +10,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stockwise.operators import search as E
+from stockwise.operators.batching import assign_batches
+from stockwise.operators.text_search import consolidated_search
 from stockwise.plans.common import views
 from stockwise.plans.registry import register
+from stockwise.sources import nested as NS
 
 CENTROIDS_SQL = """
 SELECT CAST(label AS BIGINT) AS qid, 'label ' || CAST(label AS VARCHAR) AS text, list(v ORDER BY pos) AS vec
@@ -158,10 +161,20 @@ def e5_needs(spark, sf_dir):
     return E.needs_embedding(df).select("sku", "text_for_embedding")
 
 
-@register("E7_embedding_batches")
+@register("E7_embedding_batches", oracle=f"""
+WITH RECURSIVE t AS (SELECT sku, text, greatest(1, length(text) // 4) AS est_tokens, row_number() OVER (ORDER BY sku) AS rn
+  FROM (SELECT sku, {TEXT_SQL} AS text FROM ({TEXT_IN_SQL}) a) b),
+g(rn, batch_id, items, tokens) AS (
+  SELECT rn, 0, 1, est_tokens FROM t WHERE rn = 1
+  UNION ALL
+  SELECT t.rn, CASE WHEN fits THEN batch_id ELSE batch_id + 1 END, CASE WHEN fits THEN items + 1 ELSE 1 END,
+         CASE WHEN fits THEN tokens + est_tokens ELSE est_tokens END
+  FROM (SELECT t.*, g.batch_id, g.items, g.tokens, g.items + 1 <= 100 AND g.tokens + t.est_tokens <= 8000 AS fits
+        FROM g JOIN t ON t.rn = g.rn + 1) t)
+SELECT t.sku, t.text, CAST(t.est_tokens AS BIGINT) AS est_tokens, CAST(g.batch_id AS BIGINT) AS batch_id FROM t JOIN g USING (rn)""")
 def e7_batches(spark, sf_dir):
     df = _text_in(spark, sf_dir).select("sku", E.text_for_embedding("nm", "sk", "product_id").alias("text"))
-    return E.assign_batches(df, "text")
+    return assign_batches(df, "text", ["sku"])
 
 
 @register("E8_embed_products")
@@ -171,8 +184,7 @@ def e8_embed(spark, sf_dir):
 
 
 TERMS_SQL = """
-SELECT term, CAST(dense_rank() OVER (ORDER BY term) AS INTEGER) AS term_order
-FROM (SELECT DISTINCT split_part(name, ' ', 1) AS term FROM product) t"""
+SELECT split_part(name, ' ', 1) AS term, min(product_id) AS term_order FROM product GROUP BY 1"""
 
 
 @register("E9_multi_term_search", oracle=f"""
@@ -184,13 +196,44 @@ SELECT sku, name, term, term_order, term_rank FROM (
       JOIN ({TERMS_SQL}) t ON w.word = lower(trim(t.term))) h) h2
   WHERE term_rank <= 10) x WHERE r = 1""")
 def e9_multi_term(spark, sf_dir):
-    from pyspark.sql import Window
     p = views(spark, sf_dir).product
-    terms = p.select(F.split("name", " ")[0].alias("term")).distinct()
-    terms = terms.withColumn("term_order", F.dense_rank().over(Window.orderBy("term")))
+    terms = p.groupBy(F.split("name", " ")[0].alias("term")).agg(F.min("product_id").alias("term_order"))
     return E.multi_term_search(terms, p)
 
 
+# Terms typed by customers: pieces of names, some of one or two letters only.
+PIECES_SQL = """
+SELECT term, min(product_id) AS term_order FROM (
+  SELECT product_id, CASE product_id % 4 WHEN 0 THEN upper(substr(name, 2, 5)) WHEN 1 THEN left(name, 3) WHEN 2 THEN substr(name, 3, 2)
+                                         ELSE substr(name, 4, 9) END AS term FROM product
+  UNION ALL SELECT product_id, right(sku, 1) FROM product) t GROUP BY term"""
+
+
+@register("E9_consolidated_search", oracle=f"""
+WITH q AS ({PIECES_SQL}),
+h AS (SELECT q.term, q.term_order, p.product_id, row_number() OVER (PARTITION BY q.term_order, q.term ORDER BY p.product_id) AS place
+      FROM q JOIN product p ON contains(lower(p.name), lower(trim(q.term))) AND trim(q.term) <> ''),
+f AS (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY term_order, term, place) AS r FROM h WHERE place <= 5)
+SELECT p.product_id AS id, p.name AS title, f.term, f.term_order, CAST(f.place AS INTEGER) AS place,
+       CASE WHEN k IS NULL THEN CAST(p.product_id AS VARCHAR) ELSE '{NS.GID}ProductVariant/' || p.product_id || '-' || k END AS variant_id,
+       CASE WHEN k IS NOT NULL THEN p.sku || '-V' || k END AS variant_sku, CASE WHEN k IS NOT NULL THEN p.list_price + k END AS variant_price
+FROM f JOIN product p USING (product_id)
+LEFT JOIN (SELECT product_id, unnest(range(1, product_id % 3 + 1)) AS k FROM product) v USING (product_id)
+WHERE f.r = 1 AND p.is_active""")
+def e9_consolidated(spark, sf_dir):
+    p = views(spark, sf_dir).product
+    name, pid = F.col("name"), F.col("product_id")
+    piece = (F.when(pid % 4 == 0, F.upper(F.substring(name, 2, 5))).when(pid % 4 == 1, F.substring(name, 1, 3))
+             .when(pid % 4 == 2, F.substring(name, 3, 2)).otherwise(F.substring(name, 4, 9)))
+    terms = (p.select(piece.alias("term"), "product_id").unionByName(p.select(F.right("sku", F.lit(1)).alias("term"), "product_id"))
+             .groupBy("term").agg(F.min("product_id").alias("term_order")))
+    docs = NS.product_documents(views(spark, sf_dir)).select("product.*").select(
+        F.element_at(F.split("id", "/"), -1).cast("long").alias("id"), "title", "status",
+        F.transform("variants.edges", lambda e: F.struct(e["node"]["id"].alias("id"), e["node"]["sku"].alias("sku"), e["node"]["price"].alias("price")))
+        .alias("variants"))
+    return consolidated_search(terms, docs, 5)
+
+
 @register("E10_product_by_id_or_sku", oracle="""
 SELECT k.key, k.kind, coalesce(a.product_id, b.product_id) AS product_id, coalesce(a.sku, b.sku) AS sku
 FROM (SELECT key, CASE WHEN regexp_full_match(key, '\\d+') THEN 'id' ELSE 'sku' END AS kind,

@@ -8,6 +8,9 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"     # state beyond the heap
+
+
 def get_spark(cpus: int | str = "*", app: str = "stockwise", shuffle_partitions: int | None = None) -> SparkSession:
     """Local session for tests and the bench; on a cluster the builder's
     existing session and its configuration win (``getOrCreate``)."""
@@ -24,6 +27,7 @@ def get_spark(cpus: int | str = "*", app: str = "stockwise", shuffle_partitions:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKS)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

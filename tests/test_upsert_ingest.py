@@ -63,15 +63,6 @@ def test_sync_window_rule():
     assert U.sync_window(now, dt.datetime(2024, 5, 2)) is None
 
 
-def test_versioned_write_roundtrip(spark):
-    base = tempfile.mkdtemp(prefix="sw-ver-")
-    df = spark.createDataFrame([(1,)], "a int")
-    U.write_versioned(df, base)
-    U.write_versioned(df.union(df), base)
-    assert U.current_version(spark, base) == 1
-    assert U.read_current(spark, base).count() == 2
-
-
 def test_snapshot_same_day_rerun_overwrites(spark):
     path = tempfile.mkdtemp(prefix="sw-snap-")
     day = dt.date(2024, 1, 10)
