@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockwise.llm.common import written
+from stockwise.llm.common import stored
 
 SCALE, PARTS, ENTRIES, ROUNDS = 4096, 8, 16, 6
 OWNER_PARTS = 256               # about as many members of an entry has an owner
@@ -146,7 +146,7 @@ def train(vectors: DataFrame, dim: int, parts: int = PARTS, entries: int = ENTRI
     first = integers(lead.column("v").combine_chunks(), dim, scale)
     books = [first[:, p * width:(p + 1) * width].copy() for p in range(parts)]
     salts = vectors.count() // OWNER_PARTS + 1
-    tables = [(0, written(_homes(vectors, books, dim, scale, salts), "members-0"))]
+    tables = [(0, stored(_homes(vectors, books, dim, scale, salts), "members-0"))]
     history = [books]
     history.append(_updated(books, tables[0][1], width))
     for r in range(1, rounds):
@@ -154,7 +154,7 @@ def train(vectors: DataFrame, dim: int, parts: int = PARTS, entries: int = ENTRI
         for landed, table in tables:
             part = _migration(table, history[landed + 1:r + 1], salts)
             moves = part if moves is None else moves.unionByName(part)
-        table = written(moves.repartition("position", "entry", "salt"), f"members-{r}")
+        table = stored(moves.repartition("position", "entry", "salt"), f"members-{r}")
         tables.append((r, table))
         history.append(_updated(history[r], table, width))
         if all((a == b).all() for a, b in zip(history[-1], history[-2])):
@@ -203,7 +203,7 @@ def compress(embeddings: DataFrame, parts: int = PARTS, entries: int = ENTRIES,
 
 def with_label_errors(coded: DataFrame) -> DataFrame:
     """``label_error``: errors summed over equal labels, null labels together."""
-    coded = written(coded, "codes")
+    coded = stored(coded, "codes")
     sums = coded.groupBy("label").agg(F.sum("error").alias("label_error")).withColumnRenamed("label", "of")
     return coded.join(sums, F.col("label").eqNullSafe(F.col("of"))).drop("of")
 

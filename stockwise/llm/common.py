@@ -19,23 +19,26 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder (``spark.checkpoint.dir``)
-    and read it back: cuts lineage, survives lost executors, computed once."""
+    and read it back: cuts lineage, survives lost executors, computed once. The
+    shuffle files that made the table go once it is written."""
     spark = df.sparkSession
     path = shared_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``stored``, and the shuffle files that made the table go once it is
-    written. ``df`` itself is not to be run again."""
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    conf, key = spark.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = conf.get(key, "false")
     conf.set(key, "true")
     try:
-        return stored(df, name)
+        df.write.parquet(path)
     finally:
         conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def let(value: Column, body) -> Column:

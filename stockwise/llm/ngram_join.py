@@ -304,11 +304,18 @@ def _join_groups(rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
     return rows.repartition("grp").sortWithinPartitions("grp", "rep").mapInArrow(run, "a long, b long")
 
 
+NO_ID = 1 << 62         # from here on, numbers of rows without an id
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                     text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, set_id): per row its set's size, the
-    smallest id its links reach, and the smallest id with an equal set."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    smallest id its links reach, and the smallest id with an equal set. A row
+    without an id counts under 2^62 plus a hash of its text, so a group of such rows
+    alone has the smallest of these numbers as its class. Ids lie below 2^62."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    own = F.lit(NO_ID) + F.xxhash64(text).bitwiseAND(NO_ID - 1)
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), own).alias("doc_id"), text.alias("text"))
     profile = stored(_profile(rows, width), "profile")
     texts = profile.where("bucket is null").select("doc_id", "n", "f1", "f2")
 
@@ -370,10 +377,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     parts = connected_components(edges)
     rep = sets.join(parts, sets.rep == parts.node, "left").select("n", "f1", "f2", F.col("rep").alias("set_id"), F.coalesce("component", "rep").alias("c"))
     return (texts.join(rep, ["n", "f1", "f2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"),
+            .select(F.when(F.col("doc_id") < NO_ID, F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"),
                     F.coalesce("set_id", "doc_id").alias("set_id")))
 
 
 def _with_text(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """The planned sets with their texts."""
-    return plan.join(rows, plan.rep == rows.doc_id).select(F.xxhash64("g").alias("grp"), "rep", "label", "text")
+    """The planned sets with their texts. Texts are shuffled at every size of the
+    plan, so that cost grows evenly."""
+    return plan.join(rows.hint("merge"), plan.rep == rows.doc_id).select(F.xxhash64("g").alias("grp"), "rep", "label", "text")

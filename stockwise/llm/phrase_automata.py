@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stockwise.llm.common import written
+from stockwise.llm.common import stored
 from stockwise.llm.suffix_dedup import PRIME, Prints, batches_of, mix, powers, window_minima
 
 PHRASE = 8                      # words of an anchor phrase
@@ -252,8 +252,8 @@ def remove_repeated_windows(docs: DataFrame, length: int = 20, id_col: str = "do
     rows = docs.select(key.isNull().alias("none"), F.coalesce(key, F.lit(0)).alias("k"), F.xxhash64(text).alias("h"), text.alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     rows = rows.withColumn("block", F.pmod(F.xxhash64("none", "k", "h"), F.lit(size // BLOCK_BYTES + 1)).cast("int"))
-    phrases = written(_phrases(rows, length), "phrases")
-    known = written(_confirmed(rows, phrases, length), "passages")
+    phrases = stored(_phrases(rows, length), "phrases")
+    known = stored(_confirmed(rows, phrases, length), "passages")
 
     def run(group: pa.Table, confirmed: pa.Table) -> pa.Table:
         table, words = _block(group)

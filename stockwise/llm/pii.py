@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockwise.llm.common import stored
+from stockwise.llm.common import stored, unused_name
 
 ROUNDS = 8
 # Titles before names, by the gender they tell.
@@ -335,6 +335,7 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", check: bool =
     secret = key.encode()
     kept = [c for c in docs.columns if c not in ("n_entities", "entity_types")]
     rows = docs.select(*kept)
+    tw_col, h_col = unused_name(docs, "_tweaks"), unused_name(docs, "_text_hash")
     tweaks = redrawn(docs, secret, text_col) if check else None
     if tweaks is not None and tweaks.take(1):
         # texts that mention redrawn entities get them by their hash
@@ -343,18 +344,18 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", check: bool =
             return [(h, k, v) for _, _, parts in entities(text) for _, _, k, v in parts]
 
         named = _mapped(docs.select(F.col(text_col).cast("string").alias("text")), mentions, "h string, kind string, value string").distinct()
-        per_text = named.join(tweaks, ["kind", "value"]).groupBy("h").agg(F.collect_list(F.struct("kind", "value", "tweak")).alias("tw"))
-        rows = _hashed(rows, text_col).join(per_text, "h", "left").drop("h")
+        per_text = named.join(tweaks, ["kind", "value"]).groupBy("h").agg(F.collect_list(F.struct("kind", "value", "tweak")).alias(tw_col))
+        rows = _hashed(rows, text_col, h_col).join(per_text.withColumnRenamed("h", h_col), h_col, "left").drop(h_col)
     else:
-        rows = rows.withColumn("tw", F.lit(None).cast("array<struct<kind:string,value:string,tweak:int>>"))
+        rows = rows.withColumn(tw_col, F.lit(None).cast("array<struct<kind:string,value:string,tweak:int>>"))
 
-    schema = rows.drop("tw").schema.add("n_entities", "long").add("entity_types", "string")
+    schema = rows.drop(tw_col).schema.add("n_entities", "long").add("entity_types", "string")
     place = [f.name for f in schema.fields].index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts, types = [], [], []
-            for text, tw in zip(batch.column(text_col).to_pylist(), batch.column("tw").to_pylist()):
+            for text, tw in zip(batch.column(text_col).to_pylist(), batch.column(tw_col).to_pylist()):
                 new, kinds = replaced(text, secret, {(x["kind"], x["value"]): x["tweak"] for x in tw or ()}) if text else (text, [])
                 texts.append(new)
                 counts.append(len(kinds))
@@ -366,8 +367,8 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", check: bool =
     return rows.withColumn(text_col, F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
-def _hashed(rows: DataFrame, text_col: str) -> DataFrame:
-    schema = rows.select("*").schema.add("h", "string")
+def _hashed(rows: DataFrame, text_col: str, name: str) -> DataFrame:
+    schema = rows.select("*").schema.add(name, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

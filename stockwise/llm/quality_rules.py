@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockwise.llm.common import let, stored
+from stockwise.llm.common import let, stored, unused_name
 
 BLANK = r"[ \t-\r]+"
 BINS = 32
@@ -230,16 +230,18 @@ def _base_failed(m: Column) -> Column:
 def judged(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` with the measures, ``base_failed``, ``rule`` (of
     the list, 0: none) and ``kept``."""
-    m = F.col(MEASURES)
+    name = unused_name(docs, MEASURES)
+    m = F.col(name)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return docs.withColumn(MEASURES, measures(F.col(text_col).cast("string"))).withColumns(
-        {c: m[c] for c in names} | {"rule": verdict(rules, m), "base_failed": _base_failed(m), "kept": ~_base_failed(m) & (verdict(rules, m) == 0)}).drop(MEASURES)
+    return docs.withColumn(name, measures(F.col(text_col).cast("string"))).withColumns(
+        {c: m[c] for c in names} | {"rule": verdict(rules, m), "base_failed": _base_failed(m), "kept": ~_base_failed(m) & (verdict(rules, m) == 0)}).drop(name)
 
 
 def kept_documents(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, unchanged, that base rules and list keep."""
-    m = F.col(MEASURES)
-    return docs.withColumn(MEASURES, measures(F.col(text_col).cast("string"))).where(~_base_failed(m) & (verdict(rules, m) == 0)).drop(MEASURES)
+    """The rows of ``docs``, unchanged, that base rules and list keep. The measures
+    are bound to a lambda's variable, as a projected column would be inlined into
+    the filter once for every use."""
+    return docs.where(let(measures(F.col(text_col).cast("string")), lambda m: ~_base_failed(m) & (verdict(rules, m) == 0)))
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockwise.llm.common import LOWER, UPPER, written
+from stockwise.llm.common import LOWER, UPPER, stored
 
 RUN = "[A-Za-zÀ-ÿ]+"
 MIN_LETTERS, MIN_COUNT, RATIO, TYPO_EVERY = 6, 5, 5, 199
@@ -244,7 +244,7 @@ def pairs_of_block(block: pa.Table) -> pa.Table:
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, near, near_n): all words of ``words`` (word, n) one edit apart, both
     ways."""
-    routes = written(_routes(words, cell_trees(words)), "routes")
+    routes = stored(_routes(words, cell_trees(words)), "routes")
     cells = routes.groupBy("length", "cell").agg(
         F.ceil(F.count(F.when(~F.col("asks"), 1)) / BLOCK_WORDS).cast("int").alias("blocks"),
         F.ceil(F.count(F.when(F.col("asks"), 1)) / BLOCK_ASKS).cast("int").alias("turns")).where("blocks > 0 and turns > 0")
@@ -260,17 +260,17 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
 def spelling_variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     """(word, form, root, n, n_near, form_n) for each of ``words`` (word, n)."""
-    words = written(words.select("word", "n"), "words")
+    words = stored(words.select("word", "n"), "words")
     near = near_pairs(words).groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
     is_form = -F.col("best.less") >= ratio * F.col("n")
-    found = written(words.join(near, "word", "left").select(
+    found = stored(words.join(near, "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(is_form, F.col("best.near")).alias("form"), F.when(is_form, -F.col("best.less")).alias("form_n")), "forms")
     step = found.where("form is not null").select("word", F.col("form").alias("root"))
     while True:     # each round doubles the forms followed
         onward = step.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        after = written(step.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("more")), "roots")
+        after = stored(step.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("more")), "roots")
         step = after.select("word", "root")
         if not after.where("more").take(1):
             break

@@ -218,3 +218,38 @@ def test_repeated_phrase_query(spark):
     want = {k: (n, gone, hashlib.sha256(t.encode()).hexdigest()) for k, n, gone, _, t in first_windows(in_order(spark, docs), 20)}
     got = queries.QUERIES["op13_substring_dedup"](spark, SF).collect()
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == want
+
+
+# --- repairs of earlier operators -------------------------------------------
+
+def test_quality_filter_measures_once(spark, odd):
+    from stockwise.llm import quality_rules as Q
+
+    rules = [(Q.Condition("symbol_share", True, 0.5),), (Q.Condition("upper_share", True, 0.9),), (Q.Condition("word_length", False, 1.0),)]
+    plan = Q.kept_documents(odd, rules)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("p{Lu}") == 1
+    want = {(r.doc_id, r.text) for r in Q.judged(odd.drop("kept"), rules).where("kept").collect()}
+    assert {(r.doc_id, r.text) for r in Q.kept_documents(odd, rules).collect()} == want
+    clash = odd.select("doc_id", "text", "h").withColumnRenamed("h", "_measures")
+    assert "_measures" in Q.judged(clash, rules).columns
+
+
+def test_near_duplicates_without_ids(spark):
+    from stockwise.llm.ngram_join import near_duplicates
+
+    said = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(said)), (None, "z " + " ".join(said)), (None, "alone " * 3 + "here we are"), (None, " ".join(f"v{i}" for i in range(40))),
+            (None, " ".join(f"v{i}" for i in range(41))), (5, None)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.component_id for r in got if r.n_shingles and r.component_id < 100) == [1, 1]
+    others = Counter(r.component_id for r in got if r.doc_id is None and r.component_id > 100)
+    assert sorted(others.values()) == [1, 2] and sum(r.doc_id is None for r in got) == 4
+
+
+def test_surrogates_keep_clashing_columns(spark):
+    from stockwise.llm import pii
+
+    rows = [(i, f"write to {chr(97 + i % 26)}@example.com or {chr(97 + i // 26)}@example.com", "H", "T") for i in range(330)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, h string, tw string")
+    got = pii.replace_pii(df, "secret").collect()
+    assert len(got) == 330 and {(r.h, r.tw) for r in got} == {("H", "T")} and all(r.n_entities == 2 for r in got)
