@@ -187,6 +187,7 @@ def _anchors(rows: DataFrame, length: int) -> DataFrame:
                 ints = [pa.array(found[c].astype(np.int32)) for c in ("first", "count", "before")]
                 yield pa.RecordBatch.from_arrays([part.column("k1").take(at), part.column("k2").take(at), *ints, *longs],
                                                  ["k1", "k2", "first", "n_win", "before", "gram", "span", "r", "l"])
+        _POWERS.clear()     # the worker goes on with other operators' tasks
 
     return rows.where(F.octet_length("text") >= length).select("k1", "k2", "text").mapInArrow(
         run, "k1 long, k2 int, first int, n_win int, before int, gram long, span long, r long, l long")
@@ -290,6 +291,7 @@ def repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col
                          pa.array(prints.narrow(lo[cut], lo[cut] + length).astype(np.int32)),
                          part.column("k1").take(doc), part.column("k2").take(doc), pa.array(at), pa.array(tag)],
                         ["w", "v", "k1", "k2", "at", "tag"])
+        _POWERS.clear()
 
     salted = shared.agg(F.max("salts")).first()[0]
     windows = (by_key.join(open_, ["k1", "k2"]).select("k1", "k2", "text", "open")
