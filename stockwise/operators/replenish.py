@@ -28,6 +28,25 @@ def required_production(f, stock, cap) -> Column:
     return F.greatest(F.lit(0), limited_forecast(f, cap) - _c(stock).cast("long"))
 
 
+# Fixed business values: the least stock ratio, and the least missing units, of each priority but the last.
+RATIO_CUTS = (0.5, 0.35, 0.2)
+UNIT_CUTS = (40, 25, 10)
+
+
+def graded(value: Column, cuts: tuple) -> Column:
+    """The first priority whose cut ``value`` reaches, the last one below all."""
+    out = F.lit(PRIORITY_ORDER[-1])
+    for name, cut in reversed(list(zip(PRIORITY_ORDER, cuts))):
+        out = F.when(value >= cut, name).otherwise(out)
+    return out
+
+
+def graded_sql(value: str, cuts: tuple) -> str:
+    """``graded`` as SQL text."""
+    arms = " ".join(f"WHEN {value} >= {cut}{'D' if isinstance(cut, float) else ''} THEN '{name}'" for name, cut in zip(PRIORITY_ORDER, cuts))
+    return f"CASE {arms} ELSE '{PRIORITY_ORDER[-1]}' END"
+
+
 # O2 -------------------------------------------------------------------------
 def priority_python(f, stock, cap) -> Column:
     """Reference Python rule. Fast movers (cap >= 50): ratio stock/f, only
@@ -36,12 +55,8 @@ def priority_python(f, stock, cap) -> Column:
     f, stock, cap = _c(f), _c(stock), _c(cap)
     req = F.greatest(F.lit(0), F.least(f, cap) - stock.cast("long"))
     ratio = stock / f
-    fast = (F.when((f > 0) & (req != 0),
-                   F.when(ratio >= 0.5, "CRITICO").when(ratio >= 0.35, "ALTA")
-                   .when(ratio >= 0.2, "MEDIA").otherwise("BAJA"))
-            .otherwise("BAJA"))
-    slow = (F.when(req >= 40, "CRITICO").when(req >= 25, "ALTA").when(req >= 10, "MEDIA").otherwise("BAJA"))
-    return F.when(cap >= ROTATION_THRESHOLD, fast).otherwise(slow)
+    fast = F.when((f > 0) & (req != 0), graded(ratio, RATIO_CUTS)).otherwise(PRIORITY_ORDER[-1])
+    return F.when(cap >= ROTATION_THRESHOLD, fast).otherwise(graded(req, UNIT_CUTS))
 
 
 # O3 -------------------------------------------------------------------------
@@ -50,11 +65,17 @@ def priority_sql(f, stock, cap) -> Column:
     stock is cast to integer by rounding."""
     f, stock, cap = _c(f), _c(stock), _c(cap)
     ratio = stock / f
-    fast = (F.when(f > 0, F.when(ratio >= 0.5, "CRITICO").when(ratio >= 0.35, "ALTA")
-                   .when(ratio >= 0.2, "MEDIA").otherwise("BAJA")).otherwise("BAJA"))
+    fast = F.when(f > 0, graded(ratio, RATIO_CUTS)).otherwise(PRIORITY_ORDER[-1])
     req = F.least(f, cap) - F.round(stock, 0).cast("long")
-    slow = F.when(req >= 40, "CRITICO").when(req >= 25, "ALTA").when(req >= 10, "MEDIA").otherwise("BAJA")
-    return F.when(cap >= ROTATION_THRESHOLD, fast).otherwise(slow)
+    return F.when(cap >= ROTATION_THRESHOLD, fast).otherwise(graded(req, UNIT_CUTS))
+
+
+def priority_function() -> str:
+    """``priority_sql`` as a temporary SQL function (G3), from the same cuts."""
+    fast = f"IF(f > 0, {graded_sql('stock / f', RATIO_CUTS)}, '{PRIORITY_ORDER[-1]}')"
+    slow = graded_sql("(least(f, cap) - CAST(round(stock) AS BIGINT))", UNIT_CUTS)
+    return ("CREATE OR REPLACE TEMPORARY FUNCTION calculate_priority(f BIGINT, stock DOUBLE, cap BIGINT) RETURNS STRING "
+            f"RETURN IF(cap >= {ROTATION_THRESHOLD}, {fast}, {slow})")
 
 
 def priority_rank(p) -> Column:

@@ -244,17 +244,10 @@ def n10_html(spark, sf_dir):
 
 @register("G3_priority_sql_udf", oracle=_plan_sql(SQL_PRIORITY), extra_ctes=_sel("plan_in"))
 def g3_udf(spark, sf_dir):
-    """The reference's PL/pgSQL calculate_priority as a Spark SQL function."""
+    """The SQL priority rule as a function that any SQL text can call."""
+    from stockwise.operators.replenish import priority_function
     from stockwise.plans.forecast import _plan
-    spark.sql("""
-CREATE OR REPLACE TEMPORARY FUNCTION calculate_priority(f BIGINT, stock DOUBLE, cap BIGINT) RETURNS STRING RETURN
-CASE WHEN cap >= 50 THEN
-       CASE WHEN f > 0 THEN CASE WHEN stock / f >= 0.5D THEN 'CRITICO' WHEN stock / f >= 0.35D THEN 'ALTA'
-                                 WHEN stock / f >= 0.2D THEN 'MEDIA' ELSE 'BAJA' END
-            ELSE 'BAJA' END
-     ELSE CASE WHEN least(f, cap) - CAST(round(stock) AS BIGINT) >= 40 THEN 'CRITICO'
-               WHEN least(f, cap) - CAST(round(stock) AS BIGINT) >= 25 THEN 'ALTA'
-               WHEN least(f, cap) - CAST(round(stock) AS BIGINT) >= 10 THEN 'MEDIA' ELSE 'BAJA' END END""")
+    spark.sql(priority_function())
     plan = _plan(spark, sf_dir, rule="sql")
     return plan.withColumn("priority", F.expr("calculate_priority(forecasted_qty, current_stock, max_monthly_sales)"))
 

@@ -228,15 +228,8 @@ _D = "regexp_replace(raw, '\\D', '', 'g')"
 
 @register("N6_normalize_phone_cl", oracle=f"""
 SELECT partner_id, raw,
-  CASE WHEN d IS NULL OR d = '' THEN NULL
-       WHEN length(d) <= 8 THEN '569' || d
-       WHEN length(d) = 9 THEN CASE WHEN starts_with(d, '9') THEN '56' || d ELSE d END
-       WHEN starts_with(d, '56') THEN
-            CASE WHEN length(d) = 11 AND starts_with(d, '569') THEN d
-                 WHEN length(d) = 10 AND substr(d, 3, 1) = '9' THEN d
-                 WHEN length(d) > 11 AND starts_with(d, '569') THEN right(d, 11)
-                 ELSE '56' || right(d, 9) END
-       ELSE CASE WHEN starts_with(right(d, 9), '9') THEN '56' || right(d, 9) ELSE d END END AS normalized,
+  CASE WHEN regexp_full_match(d, '\\d{{1,8}}') THEN '569' || d WHEN regexp_full_match(d, '569\\d{{7,}}') THEN right(d, 11)
+       WHEN regexp_full_match(d, '56\\d{{8,}}|\\d*9\\d{{8}}') THEN '56' || right(d, 9) ELSE nullif(d, '') END AS normalized,
   right(d, 9) AS last9
 FROM (SELECT *, {_D} AS d FROM ({PHONE_SQL}) x) y""")
 def n6_phone(spark, sf_dir):

@@ -28,18 +28,13 @@ SELECT n.component_product_id, c.sku AS component_sku, round(n.rq, 4) AS require
        CASE prank WHEN 0 THEN 'CRITICO' WHEN 1 THEN 'ALTA' WHEN 2 THEN 'MEDIA' ELSE 'BAJA' END AS priority
 FROM need n JOIN product c ON c.product_id = n.component_product_id LEFT JOIN stock s ON s.sku = c.sku""",
     "sp": f"""
-SELECT product_id, product_name, product_default_code, supplier_id, supplier_name, supplier_vat,
-       min(unit_price) AS min_price, max(unit_price) AS max_price, {avg_sql('unit_price')} AS avg_price,
-       max(CASE WHEN rn = 1 THEN unit_price END) AS last_price
-FROM (SELECT p.product_id, p.name AS product_name, p.sku AS product_default_code, prt.partner_id AS supplier_id,
-             prt.name AS supplier_name, prt.vat AS supplier_vat, pol.unit_price,
-             row_number() OVER (PARTITION BY p.product_id, prt.partner_id
-                                ORDER BY pol.date_order DESC NULLS LAST, pol.write_date DESC NULLS LAST,
-                                         pol.po_id DESC, pol.unit_price DESC) AS rn
-      FROM purchase_order_line pol JOIN product p ON pol.product_id = p.product_id
-      JOIN partner prt ON pol.partner_id = prt.partner_id
-      WHERE prt.supplier_rank > 0 AND p.sku IS NOT NULL) t
-GROUP BY product_id, product_name, product_default_code, supplier_id, supplier_name, supplier_vat""",
+SELECT p.product_id, any_value(p.name) AS product_name, any_value(p.sku) AS product_default_code, s.partner_id AS supplier_id,
+       any_value(s.name) AS supplier_name, any_value(s.vat) AS supplier_vat, min(l.unit_price) AS min_price, max(l.unit_price) AS max_price,
+       {avg_sql('l.unit_price')} AS avg_price,
+       arg_max(l.unit_price, (l.date_order IS NOT NULL, l.date_order, l.write_date IS NOT NULL, l.write_date, l.po_id, l.unit_price)) AS last_price
+FROM purchase_order_line l JOIN partner s ON s.partner_id = l.partner_id AND s.supplier_rank > 0
+JOIN product p ON p.product_id = l.product_id AND p.sku IS NOT NULL
+GROUP BY p.product_id, s.partner_id""",
     "plist": """
 SELECT CAST(c.component_product_id AS VARCHAR) AS id, CAST(c.component_product_id AS VARCHAR) AS product_id,
        left(p.name, 15) AS product_name, CAST(p.sku AS VARCHAR) AS default_code,

@@ -295,14 +295,13 @@ def i6_orders(spark, sf_dir):
     return I.sync_orders(v.sale_order, remap)
 
 
-LEGACY = {
-    "stg": "SELECT * FROM sales_items",
-    "known": "SELECT sku, product_id FROM product WHERE product_type <> 'service'",
-    "dd": DEDUP_LAST.format(rest=SI_REST, src="stg"),
-    "vl": "SELECT d.*, k.product_id AS pid FROM dd d LEFT JOIN known k ON k.sku = d.items_product_sku",
-    "good": "SELECT * FROM vl WHERE salesinvoiceid NOT IN (SELECT salesinvoiceid FROM vl GROUP BY 1 "
-            "HAVING bool_or(pid IS NULL))",
-}
+# Lines of invoices all of whose SKUs are known, by one flag over the invoice.
+LEGACY = {"good": f"""
+SELECT * FROM (
+  SELECT n.*, k.product_id AS pid, bool_and(k.sku IS NOT NULL) OVER (PARTITION BY n.salesinvoiceid) AS all_known
+  FROM ({DEDUP_LAST.format(rest=SI_REST, src='sales_items')}) n
+  LEFT JOIN product k ON k.sku = n.items_product_sku AND k.product_type <> 'service') t
+WHERE all_known"""}
 
 
 def _legacy_inputs(v):
