@@ -34,7 +34,7 @@ from stockwise.llm.chunks import ChunkTable, chunk_array, slices, text_bytes
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, sequence_tokens long, sequence_cost double")
 SLICE_BYTES = 4 << 20       # text tokenised at once
-CACHE_CHUNKS = 1_200_000    # distinct chunks a worker keeps; beyond that it starts anew
+CACHE_CHUNKS = 500_000    # distinct chunks a worker keeps; beyond that it starts anew
 BLOCK_TOKENS = 4 << 20      # tail tokens packed together
 
 
