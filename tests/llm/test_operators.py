@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import duckdb
 import pytest
 
 from stockwise.llm import chat_format, fingerprints, license_scan, ngram_join, packing, pii, quality_rules, queries, sentencepiece_codec, suffix_dedup, toxicity
@@ -143,6 +144,31 @@ def test_license_scan_odd(odd):
     assert license_scan.scan_licenses(odd.limit(0)).collect() == []
 
 
+LICENSE_CASES = [
+    ("Released under the BSD License.", "bsd"), ("The tool is released under the GPL license", "gpl"), ("Data licensed under CC BY 4.0", "cc-by"),
+    ("Licensed under CC BY-NC 4.0", "cc-by-nc"), ("Licensed under CC BY-NC-SA 4.0.", "cc-by-nc"), ("Licensed under CC BY-SA 4.0.", ""),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "cc-by"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "cc-by-nc"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ""),
+    ("the report was released to staff under review while the driving license office was closed", ""),
+    ("It is released under the terms of the MIT License, also for commercial use.", "mit"),
+    ("/*\n * Permission is hereby granted, free of charge, to any person\n * obtaining a copy of this software and\n * associated documentation files\n */", "mit"),
+    ("# Unless required by applicable law or agreed to in writing,\n# software distributed under the License is distributed on an\n# \"AS IS\" BASIS", "apache-2"),
+    ("permission is hereby granted free of charge\n\nto any person obtaining a copy of this software and associated documentation files", ""),
+    ("This is free software under the GNU Lesser General Public License version 3", ""),
+    ("word " * 5000 + "Redistribution and use in source and binary forms, with or without modification, are permitted " + "word " * 5000, "bsd"),
+]
+
+
+def test_license_windows(spark):
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(LICENSE_CASES)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in license_scan.scan_licenses(docs).collect()}
+    assert got == {i: label for i, (_, label) in enumerate(LICENSE_CASES)}
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    assert {i: labels for i, labels in con.execute(f"SELECT doc_id, labels FROM ({license_scan.oracle()})").fetchall()} == got
+
+
 def test_chat_layouts_round_trip(spark):
     rows = [(1, 0, "user", "a </turn> &lt; <turn role=\"x\">"), (1, 1, "assistant", "\\n &amp;"), (2, 0, None, None), (2, 0, "assistant", "b"), (2, 0, "assistant", "b"),
             (3, None, "we\"ird", "x" * 50_000)]
