@@ -100,3 +100,16 @@ def run_status(report: DataFrame) -> DataFrame:
     warn = F.count_if((F.col("severity") == "warning") & (F.col("n") > 0))
     return report.agg(crit.alias("critical"), warn.alias("warnings"),
                       F.when(crit > 0, "fail").when(warn > 0, "warn").otherwise("ok").alias("status"))
+
+
+def all_checks(v, tables: dict[str, DataFrame]) -> DataFrame:
+    """C1 to C4 as (check_name, n, severity) rows, ``n`` the number of failures:
+    an empty master table, an orphan, an order whose lines differ from its amount,
+    a product without bill of materials (a warning each, unless critical)."""
+    empty = master_counts(tables).select(F.concat(F.lit("empty_"), "check_name").alias("check_name"),
+                                         F.when(F.col("n") == 0, 1).otherwise(0).cast("long").alias("n"), "severity")
+    amounts = amount_consistency(v.sale_order, v.sale_order_line).select(
+        F.lit("order_amount_differs").alias("check_name"), F.col("mismatched").alias("n"), F.lit("warning").alias("severity"))
+    bare = product_relations(v.product, v.bom_line).agg(
+        F.lit("product_without_bom").alias("check_name"), F.count_if(F.col("boms") == 0).alias("n"), F.lit("warning").alias("severity"))
+    return reduce(DataFrame.unionByName, [empty, referential_integrity(v), amounts, bare])

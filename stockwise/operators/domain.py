@@ -48,3 +48,23 @@ def domain_to_column(domain: list) -> Column:
     while stack:
         out = out & stack.pop()
     return out
+
+
+# F12 / F19 --------------------------------------------------------------------
+def products_by_skus(product: DataFrame, skus: DataFrame) -> DataFrame:
+    """Products whose SKU is asked for, in any case, ordered by name."""
+    asked = skus.select(F.upper("sku").alias("asked")).distinct()
+    return (product.withColumn("sku", F.upper("sku")).join(asked, F.col("sku") == F.col("asked"), "left_semi").orderBy("name", "sku"))
+
+
+def skus_exist(product: DataFrame, skus: DataFrame) -> DataFrame:
+    """Each distinct asked SKU and whether the catalogue has it."""
+    known = product.select(F.upper("sku").alias("known")).distinct()
+    return (skus.select("sku").distinct().join(known, F.upper("sku") == F.col("known"), "left")
+            .select("sku", F.col("known").isNotNull().alias("found")))
+
+
+def status_guard(query) -> Column:
+    """``query`` asking for active products unless it names a status itself."""
+    q = F.trim(F.coalesce(query, F.lit("")))
+    return F.when(F.lower(q).contains("status:"), q).when(q == "", "status:active").otherwise(F.concat(q, F.lit(" AND status:active")))

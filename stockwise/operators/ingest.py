@@ -98,6 +98,36 @@ def sync_orders(orders: DataFrame, remap: DataFrame) -> DataFrame:
         "partner_id", F.coalesce("canonical_id", "partner_id")).drop("canonical_id")
 
 
+def sync_lines(lines: DataFrame, orders: DataFrame, product: DataFrame, key: str = "order_id") -> DataFrame:
+    """Lines of the synced ``orders``; a product that is not in the catalogue
+    becomes NULL, a missing quantity or price 0."""
+    known = product.select(F.col("product_id").alias("known_product")).distinct()
+    return (lines.join(orders.select(key), key, "left_semi")
+            .join(known, F.col("product_id") == F.col("known_product"), "left")
+            .withColumns({"product_id": F.col("known_product"), "qty": F.coalesce("qty", F.lit(0)),
+                          "unit_price": F.coalesce("unit_price", F.lit(0.0))}).drop("known_product"))
+
+
+def sync_purchase_orders(lines: DataFrame, remap: DataFrame) -> DataFrame:
+    """One purchase order per ``po_id``, its partner through the remap; sums in cents."""
+    cents = F.round(F.col("qty") * F.col("unit_price") * 100).cast("long")
+    orders = lines.groupBy("po_id").agg(F.min("partner_id").alias("partner_id"), F.min("date_order").alias("date_order"),
+                                        F.sum(cents).alias("cents"), F.count_if(F.col("state") == "draft").alias("drafts"))
+    return (orders.join(remap.select("partner_id", "canonical_id"), "partner_id", "left")
+            .select("po_id", F.coalesce("canonical_id", "partner_id").alias("partner_id"), "date_order",
+                    (F.col("cents") / 100).alias("amount_total"), F.when(F.col("drafts") > 0, "draft").otherwise("purchase").alias("state")))
+
+
+def sync_quants(quants: DataFrame, product: DataFrame, location: DataFrame) -> DataFrame:
+    """Stock rows with product and location looked up, NULL where unknown."""
+    p = product.select(F.col("product_id").alias("known_product")).distinct()
+    place = location.select(F.col("location_id").alias("known_location")).distinct()
+    return (quants.join(p, F.col("product_id") == F.col("known_product"), "left")
+            .join(place, F.col("location_id") == F.col("known_location"), "left")
+            .select(F.col("known_product").alias("product_id"), F.col("known_location").alias("location_id"),
+                    F.coalesce("quantity", F.lit(0.0)).alias("quantity"), F.coalesce("reserved_quantity", F.lit(0.0)).alias("reserved_quantity")))
+
+
 # I7 / I8 --------------------------------------------------------------------
 def _legacy_lines(staging: DataFrame, product: DataFrame) -> DataFrame:
     """Newest document of each (invoice, SKU) with its product, of invoices whose
@@ -142,6 +172,13 @@ def filter_orders(orders: DataFrame, lo, hi) -> DataFrame:
                         & (F.col("date_order") >= lo) & (F.col("date_order") <= hi))
 
 
+def filter_pos_orders(orders: DataFrame, lo, hi) -> DataFrame:
+    """Point-of-sale orders: state paid/done/invoiced, date within [lo, hi].
+    They have no team: the shop's own name in the order name gives the channel."""
+    kept = orders.where(F.col("state").isin("paid", "done", "invoiced") & (F.col("date_order") >= lo) & (F.col("date_order") <= hi))
+    return kept.withColumn("team_name", F.when(F.col("name").contains("Juan Sabaj"), "Tienda Sabaj"))
+
+
 def orders_to_sales_items(orders: DataFrame, lines: DataFrame, product: DataFrame, partner: DataFrame,
                           source: str = "sale") -> DataFrame:
     """Orders x lines x products x partners -> the 18-column sales shape.
@@ -184,6 +221,30 @@ def partners_by_email(partner: DataFrame, emails: DataFrame) -> DataFrame:
     return partner.where(F.col("customer_rank") > 0).join(e, F.lower("email") == e["__e"], "left_semi")
 
 
+PARTNER_KEYS = ("id", "vat", "email", "name", "phone")
+
+
+def partner_key(field: str, value) -> F.Column:
+    """What two values of a field must share: digits of ids and phones (last
+    nine), the rest trimmed, in lower case."""
+    text = F.lower(F.trim(value.cast("string")))
+    return F.right(F.regexp_replace(text, r"\D", ""), F.lit(9)) if field == "phone" else text
+
+
+def lookup_partners(partner: DataFrame, requests: DataFrame, customers_only: bool = True) -> DataFrame:
+    """``requests`` (request_id, field, value) with the customer of smallest id
+    whose field has the same key, NULL where there is none. Each (field, key) is
+    reduced to its one answer before the join, so a repeated VAT is one row."""
+    rows = partner.where("customer_rank > 0") if customers_only else partner
+    columns = {"id": F.col("partner_id"), **{f: F.col(f) for f in PARTNER_KEYS[1:]}}
+    keys = F.array(*[F.struct(F.lit(f).alias("field"), partner_key(f, c).alias("key")) for f, c in columns.items()])
+    answers = (rows.select("partner_id", "name", F.explode(keys).alias("k")).where("k.key <> ''")
+               .groupBy("k.field", "k.key").agg(F.min_by(F.struct("partner_id", "name"), "partner_id").alias("found")))
+    key = F.coalesce(*[F.when(F.col("field") == f, partner_key(f, F.col("value"))) for f in PARTNER_KEYS])
+    return (requests.withColumn("key", key).join(answers, ["field", "key"], "left")
+            .select("request_id", "field", "value", F.col("found.partner_id").alias("partner_id"), F.col("found.name").alias("name")))
+
+
 def new_statement_lines(lines: DataFrame, existing: DataFrame) -> DataFrame:
     """Skip statement lines whose (journal, ref) already exists."""
     return lines.join(existing.select("journal", "ref").distinct(), ["journal", "ref"], "left_anti")

@@ -178,6 +178,15 @@ def merge_by_email(conversations: DataFrame) -> DataFrame:
         F.lit("merged").alias("status"))
 
 
+def merged_messages(conversations: DataFrame) -> DataFrame:
+    """The messages of each e-mail's merged conversation, oldest first, each with
+    the conversation it came from: rows, so that no group is one array."""
+    m = message_rows(conversations).select("conversation_id", "message_id", "created_at", "content")
+    return (conversations_by_email(conversations).join(m, "conversation_id")
+            .select("email", "created_at", "message_id", F.col("conversation_id").alias("merged_from"), "content")
+            .orderBy("email", "created_at", "message_id"))
+
+
 def reply_targets(emails: DataFrame, conversations: DataFrame) -> DataFrame:
     """First matched conversation (lowest id) per e-mail, else a new one."""
     first = conversations_by_email(conversations).groupBy("email").agg(

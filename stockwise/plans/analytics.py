@@ -203,17 +203,20 @@ def a6_seasonal(spark, sf_dir):
     return S.seasonal_comparison(views(spark, sf_dir).sales_items, [(1999, 12), (2000, 12), (2000, 6)])
 
 
-@register("A7_max_monthly_sales", oracle=f"""
+A7_SQL = f"""
 SELECT sku, CAST(max(monthly_total) AS BIGINT) AS max_monthly_sales FROM (
   SELECT items_product_sku AS sku, year(issueddate) AS y, month(issueddate) AS m, sum(items_quantity) AS monthly_total
   FROM sales_items
   WHERE items_quantity > 0 AND issueddate >= {AS_OF_SQL} - INTERVAL 24 MONTH AND {NQ}
-  GROUP BY 1, 2, 3) t GROUP BY sku""")
+  GROUP BY 1, 2, 3) t GROUP BY sku"""
+
+
+@register("A7_max_monthly_sales", oracle=A7_SQL)
 def a7_max_monthly(spark, sf_dir):
     return S.max_monthly_sales(views(spark, sf_dir).sales_items, AS_OF)
 
 
-@register("A8_latest_unit_price", oracle=f"""
+A8_SQL = f"""
 WITH base AS (
   SELECT * FROM sales_items WHERE items_quantity > 0 AND items_unitprice > 0 AND {NQ}),
 latest AS (
@@ -224,6 +227,9 @@ avgp AS (
   SELECT items_product_sku AS sku, {avg_sql("items_unitprice", 2)} AS avg_price FROM base
   WHERE issueddate >= {AS_OF_SQL} - INTERVAL 6 MONTH GROUP BY 1)
 SELECT coalesce(l.sku, a.sku) AS sku, round(coalesce(l.latest_price, a.avg_price, 0.0), 2) AS unit_price
-FROM latest l FULL OUTER JOIN avgp a ON l.sku = a.sku""")
+FROM latest l FULL OUTER JOIN avgp a ON l.sku = a.sku"""
+
+
+@register("A8_latest_unit_price", oracle=A8_SQL)
 def a8_latest_price(spark, sf_dir):
     return S.latest_unit_price(views(spark, sf_dir).sales_items, AS_OF)
