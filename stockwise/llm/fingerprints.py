@@ -35,7 +35,8 @@ SPREAD = sum(1 << (LANE * k) for k in range(COUNTERS))
 HEX = 60 // 4                                        # hexadecimal digits of a lane
 SUMS, SKETCHES = 4, 2
 LANES = 1 + SUMS + SKETCHES * LANE
-BUCKET_ROWS, MAX_BUCKETS = 1000, 10_000
+BUCKET_ROWS, MAX_BUCKETS = 1000, 10_000              # rows of a range of ids; most ranges (larger ones spill)
+STEP = 100                                           # range ends searched at once
 
 
 def vector(text: Column) -> Column:
@@ -89,31 +90,67 @@ def likeness(a: Column, b: Column) -> Column:
         F.struct(signs(v["x"]).alias("a"), signs(v["y"]).alias("b"), (v["x"] == v["y"]).alias("same")), of))
 
 
+def _ends(rows: DataFrame) -> tuple[list[int], int]:
+    """Ends of ranges of about ``BUCKET_ROWS`` rows each, from Spark's mergeable
+    quantiles of all ids, and the number of ranges for rows without an id."""
+    n, nulls = rows.agg(F.count("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
+    ranges = max(1, min(n // BUCKET_ROWS, MAX_BUCKETS))
+    ends = []
+    if ranges > 1:
+        at = F.array(*[F.lit(k / ranges) for k in range(1, ranges)])
+        ends = rows.agg(F.percentile_approx("doc_id", at, 10 * MAX_BUCKETS)).first()[0]
+    return sorted(ends), max(1, min(nulls // BUCKET_ROWS, MAX_BUCKETS))
+
+
+def _range(ends: list[int], nulls: int) -> Column:
+    """Number of a row's range, growing with (doc_id, h). An id that is the end
+    of several ranges holds as many ranges' rows: its rows are cut by ``h``."""
+    def share(h: Column, parts: Column) -> Column:
+        place = (h.cast("double") / float(1 << 64) + 0.5) * parts
+        return F.greatest(F.lit(0), F.least(F.floor(place).cast("int"), parts - 1))
+
+    x, h = F.col("doc_id"), F.col("h")
+    bounds = F.from_json(F.lit(str(ends)), "array<bigint>")
+    tops = F.from_json(F.lit(str(ends[::STEP])), "array<bigint>")
+
+    def below(strictly: bool) -> Column:
+        # whole steps that end below the id, then the step in which it falls
+        less = (lambda e: e < x) if strictly else (lambda e: e <= x)
+        return let(F.greatest(F.size(F.filter(tops, less)) - 1, F.lit(0)) * STEP,
+                   lambda skip: skip + F.size(F.filter(F.slice(bounds, skip + 1, F.lit(STEP)), less)))
+
+    known = let(F.struct(below(True).alias("lo"), below(False).alias("hi")),
+                lambda p: F.when(p["hi"] > p["lo"], p["lo"] + share(h, p["hi"] - p["lo"])).otherwise(p["lo"]))
+    return F.when(x.isNotNull(), known).otherwise(share(h, F.lit(nulls)) - nulls)
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, v, next_text, next_v): each document with its fingerprint
-    and the next one in descending id, the first after the last.
-
-    Ids fall into buckets of equal width, about ``BUCKET_ROWS`` rows each if they
-    are evenly spread (a denser one is only larger; its window spills). Inside a
-    bucket a window finds the next row; a bucket's last row takes the first of
-    the next bucket that has rows, from a table of at most ``MAX_BUCKETS`` rows.
-    The texts are shuffled once.
+    and the next one in descending id, the first after the last; equal ids by the
+    hash of their texts, descending, rows without an id last.
+
+    Ids fall into ranges of about equal numbers of rows, however they are spread;
+    rows of one frequent id, or of none, are spread over ranges by their texts'
+    hash. Inside a range a window finds the next row; a range's last row takes the
+    first of the next range, from a table of at most ``2 * MAX_BUCKETS`` rows. The
+    texts are shuffled once. Rows equal in id and text share a range, which spills.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    low, high = low or 0, high or 0
-    buckets = max(1, min(n // BUCKET_ROWS, MAX_BUCKETS))
-    width = (high - low) // buckets + 1
-    rows = rows.withColumn("bucket", F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)).cast("int"), F.lit(-1)))
-    rows = rows.repartition("bucket").withColumn("v", vector(F.col("text")))
-    order = Window.partitionBy("bucket").orderBy(F.col("doc_id").desc_nulls_last(), "text")
-    rows = rows.withColumns({"next": F.lead(F.struct("text", "v")).over(order), "place": F.row_number().over(order)})
-    heads = rows.where("place = 1").select("bucket", F.struct("text", "v").alias("head"))
-    all_buckets = Window.orderBy(F.col("bucket").desc())
-    after = heads.select("bucket").withColumn("follows", F.coalesce(
-        F.lead("bucket").over(all_buckets), F.first("bucket").over(all_buckets)))
-    after = after.join(heads.withColumnRenamed("bucket", "follows"), "follows").select("bucket", "head")
-    found = rows.join(after, "bucket", "left").withColumn("next", F.coalesce("next", "head"))
+    ends, nulls = _ends(rows)
+    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("bucket", _range(ends, nulls))
+    first = rows.groupBy("bucket").agg(F.max(F.struct("doc_id", "h")).alias("first"))
+    down = Window.orderBy(F.col("bucket").desc())     # over one row a range
+    first = first.withColumn("before", F.coalesce(F.lag("bucket").over(down), F.last("bucket").over(
+        down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+    heads = (rows.join(F.broadcast(first.select(F.col("bucket").alias("b"), "before", "first")),
+                       (F.col("bucket") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h")))
+             .select(F.col("before").alias("of"), F.col("text").alias("head")).dropDuplicates(["of"]))
+    order = Window.partitionBy("bucket").orderBy(F.col("doc_id").desc_nulls_last(), F.col("h").desc(), "text")
+    placed = rows.repartition("bucket").withColumn("v", vector(F.col("text")))
+    placed = placed.withColumn("next", F.lead(F.struct("text", "v")).over(order))
+    heads = heads.withColumn("head", F.struct(F.col("head").alias("text"), vector(F.col("head")).alias("v")))
+    found = placed.join(heads, (F.col("bucket") == F.col("of")) & F.col("next").isNull(), "left")
+    found = found.withColumn("next", F.coalesce("next", "head"))
     return found.select("doc_id", "text", "v", F.col("next.text").alias("next_text"), F.col("next.v").alias("next_v"))
 
 

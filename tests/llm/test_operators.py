@@ -325,3 +325,23 @@ def test_pii_crowded_formats(spark):
     assert len(set(made)) == 330 and not set(made) & set(pairs[:330])
     with pytest.raises(ValueError, match="no surrogates left for email"):
         surrogates_of(spark, [f"write {x} now" for x in pairs[:400]], r"\S+@\S+")
+
+
+@pytest.mark.parametrize("ids", ["far", "hot", "none", "even"])
+def test_fingerprint_ranges_hold_any_ids(spark, monkeypatch, ids):
+    monkeypatch.setattr(fingerprints, "BUCKET_ROWS", 5)
+    monkeypatch.setattr(fingerprints, "STEP", 7)
+    of = {"far": lambda i: 10 ** 15 if i == 0 else i, "hot": lambda i: 40 if i % 2 else i, "none": lambda i: None if i % 3 == 0 else i, "even": lambda i: -i}[ids]
+    docs = spark.createDataFrame([(of(i), f"text {i}.") for i in range(600)], "doc_id long, text string")
+    rows = fingerprints.with_next(docs).collect()
+    after = {r.text: r.next_text for r in rows}
+    assert len(rows) == 600 == len(after) == len(set(after.values()))
+    place, walk = max((r for r in rows if r.doc_id is not None), key=lambda r: r.doc_id).text, []
+    known = {r.text: r.doc_id for r in rows}
+    for _ in range(600):
+        walk.append(known[place])
+        place = after[place]
+    have = [x for x in walk if x is not None]
+    assert have == sorted(have, reverse=True) and walk[len(have):] == [None] * (600 - len(have)) and len(set(after)) == 600
+    sizes = docs.withColumn("h", fingerprints.F.xxhash64("text")).groupBy(fingerprints._range(*fingerprints._ends(docs))).count()
+    assert max(r["count"] for r in sizes.collect()) <= 25
