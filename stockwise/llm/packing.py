@@ -33,8 +33,8 @@ from stockwise.llm.chunks import ChunkTable, chunk_array, slices, text_bytes
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, sequence_tokens long, sequence_cost double")
-SLICE_BYTES = 4 << 20       # text tokenised at once
-CACHE_CHUNKS = 500_000    # distinct chunks a worker keeps; beyond that it starts anew
+SLICE_BYTES = 2 << 20       # text tokenised at once
+CACHE_CHUNKS = 200_000      # distinct chunks a worker keeps; beyond that it starts anew
 BLOCK_TOKENS = 4 << 20      # tail tokens packed together
 
 
@@ -208,6 +208,7 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int
     which added tokens in a text count; else they are ordinary text."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()       # what an earlier operator's tasks left in this worker
         enc, made = encoder(tokenizer_path, added), (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         block: list[tuple[int, int, int, np.ndarray]] = []     # doc, start of tail, tokens of doc, ids
         held = 0
