@@ -181,6 +181,28 @@ def test_new_vectors_join_the_cells(spark):
     assert got == _nearest(cat, ask, 5, 0.5)
 
 
+def test_sent_queries_stay_small(spark, monkeypatch):
+    """Neighbouring cells share a shelf: a query that needs every cell is sent once for
+    many of them, in slices, and vectors that are all alike do not add up."""
+    import pyarrow as pa
+    from stockwise.operators import vector_index as V
+
+    prod, queries, cat, ask = _vector_tables(spark, 400, 60)
+    monkeypatch.setattr(V, "BLOCK_ROWS", 128)
+    placed, cells = V.build(prod.where("is_active"), 20)
+    shelves = V.shared(cells)
+    assert len(shelves.sizes) < len(cells.sizes) and shelves.sizes.sum() == cells.sizes.sum()
+    assert all(shelves.sizes[s] <= 128 or (shelves.shelf == s).sum() == 1 for s in range(len(shelves.sizes)))
+    routes = V._routes(V._keyed(queries, "vec"), shelves, -1.0, lambda unit, floor: np.ones((len(unit), len(shelves.sizes)), bool))
+    sent = routes.groupBy("q").count().agg({"count": "max"}).first()[0]
+    assert sent == shelves.blocks.sum() < len(cells.sizes)
+    same = pa.table({"q": [1, 2], "qid": [1, 2], "vec": [[1.0, 0.0]] * 2, "norm": [1.0] * 2, "floor": [0.5, 1.5]})
+    many = pa.table({"sku": [f"S{i:04d}" for i in range(3000, 0, -1)], "vec": [[2.0, 0.0]] * 3000, "norm": [2.0] * 3000})
+    monkeypatch.setattr(V, "PAIRS", 4000)
+    got = V._block_hits(3, 0.5)(same, many).to_pydict()
+    assert got["sku"] == ["S0001", "S0002", "S0003"] and got["q"] == [1, 1, 1]      # the second asks for more than there is
+
+
 def test_message_direction_and_merge(spark):
     conv = spark.createDataFrame([(99, "user@example.com", 0, 1, 10), (99, "user@example.com", 1, 2, 20)],
                                  "cid long, email string, mtype int, mid long, t long")
