@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockwise.session import cut_lineage
+
 PER_GROUP = 1_000       # columns of a file
 
 
@@ -16,8 +18,8 @@ def export_wide(df: DataFrame, path: str, row: str, column: str, value: str, per
     ``path/manifest`` holds (column_group, name, place) of every column. Empty cells
     stay empty; of repeated cells the largest counts. A group's file is as long as
     there are rows, which are few (dates)."""
-    cells = df.where(F.col(column).isNotNull() & F.col(row).isNotNull()).groupBy(
-        F.col(row).cast("string").alias("r"), F.col(column).cast("string").alias("c")).agg(F.max(value).cast("string").alias("v"))
+    cells = cut_lineage(df.where(F.col(column).isNotNull() & F.col(row).isNotNull()).groupBy(
+        F.col(row).cast("string").alias("r"), F.col(column).cast("string").alias("c")).agg(F.max(value).cast("string").alias("v")))
     names = cells.select("c").distinct()
     groups = max(1, -(-names.count() // per_group))
     parted = names.repartitionByRange(groups, "c").select(F.spark_partition_id().alias("column_group"), F.col("c").alias("name"))

@@ -17,10 +17,10 @@ from stockwise.operators import series as T
 from stockwise.operators import stored as ST
 from stockwise.operators import upsert as U
 from stockwise.plans.common import views
-from stockwise.plans.forecast import PLAN, PY_PRIORITY, _capped, _plan, _plan_sql, _sel
+from stockwise.plans.forecast import PLAN, PY_PRIORITY, _capped, _plan, _plan_sql, _profile_forecasts, _sel
 from stockwise.plans.registry import register
 from stockwise.plans.sync import DEDUP_LAST, LEGACY, PROD_TS, SALES_TS, SI_REST, _legacy_inputs, _prod_target_source, _sales_target_source
-from stockwise.session import shared_path
+from stockwise.session import cut_lineage, shared_path
 
 
 def _path(spark, name):
@@ -85,7 +85,7 @@ FROM (SELECT f.*, c.step FROM ({FORECAST_TABLE}) f JOIN capped c ON c.sku = f.sk
 def u7_forecast_table(spark, sf_dir):
     """An older run's rows (quantities off by 1000) up to the eighth month, then
     the new run's rows from the fifth on, twice."""
-    capped = _capped(spark, sf_dir)
+    capped = cut_lineage(_capped(spark, sf_dir))
     rows = forecast_rows(capped).join(capped.select("sku", "forecast_date", "step"), ["sku", "forecast_date"])
     older = rows.where("step <= 8").withColumn("forecasted_quantity", F.col("forecasted_quantity") + 1000).drop("step")
     newer = rows.where("step >= 5").drop("step")
@@ -110,7 +110,8 @@ PLAN_CTES = {**_sel("plan_in"), "mf_next": _next_month(PLAN["mf"]), "plan_next":
 
 
 def _plan_table(spark, sf_dir):
-    first, second = _plan(spark, sf_dir), _plan(spark, sf_dir, year=NEXT[0], month=NEXT[1])
+    forecasts = cut_lineage(_profile_forecasts(spark, sf_dir))      # once for both months
+    first, second = (cut_lineage(_plan(spark, sf_dir, year=y, month=m, forecasts=forecasts)) for y, m in ((PLAN_YEAR, PLAN_MONTH), NEXT))
     table = _table("plan", first, ["sku", "year", "month"], create=False)
     for batch in (first.withColumn("priority", F.lit("BAJA")), second, first):
         table.upsert(batch)
