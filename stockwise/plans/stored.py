@@ -15,7 +15,6 @@ from stockwise.operators import ingest as I
 from stockwise.operators import replenish as R
 from stockwise.operators import series as T
 from stockwise.operators import stored as ST
-from stockwise.operators import upsert as U
 from stockwise.plans.common import views
 from stockwise.plans.forecast import PLAN, PY_PRIORITY, _capped, _plan, _plan_sql, _profile_forecasts, _sel
 from stockwise.plans.registry import register
@@ -27,8 +26,9 @@ def _path(spark, name):
     return shared_path(spark, f"stored/{name}-{uuid.uuid4().hex[:10]}")
 
 
-def _table(name, rows, keys, create=True):
-    table = ST.KeyedTable(rows.sparkSession, _path(rows.sparkSession, name), rows.schema, keys)
+def _table(name, rows, keys, create=True, size=0):
+    """A table for about ``size`` rows."""
+    table = ST.KeyedTable(rows.sparkSession, _path(rows.sparkSession, name), rows.schema, keys, ST.buckets_for(size))
     return table.create(rows if create else None)
 
 
@@ -50,9 +50,9 @@ UNION ALL SELECT * FROM ({DEDUP_LAST.format(rest=SI_REST, src='st')}) o WHERE NO
 def u2_stored(spark, sf_dir):
     target, source = _sales_target_source(views(spark, sf_dir))
     keys = ["salesinvoiceid", "items_product_sku"]
-    table = _table("sales", target, keys, create=False)
+    table = _table("sales", target, keys, create=False, size=views(spark, sf_dir).sales_items.count())
     for batch in (target, source):
-        table.upsert(batch, order=["docnumber"])
+        table.upsert(batch, order=["docnumber"], written=True)
     return table.read()
 
 
@@ -154,13 +154,15 @@ JOIN (SELECT salesinvoiceid, max(issueddate) AS date_order FROM good GROUP BY 1)
 def u10_lines(spark, sf_dir):
     """Lines take their order's stored surrogate, so orders are stored first."""
     si, known = _legacy_inputs(views(spark, sf_dir))
-    orders = _table("orders", I.legacy_orders(si, known), ["odoo_id"])
-    lines = I.legacy_lines(si, known).join(
+    good, size = ST.parked(I.good_lines(si, known)), si.count()      # for orders and lines
+    orders = _table("orders", I.orders_of(good), ["odoo_id"], size=size // 4)
+    lines = I.lines_of(good).join(
         orders.read().select(F.col("odoo_id").alias("order_odoo_id"), "date_order"), "order_odoo_id").select(
         "odoo_id", "order_odoo_id", "product_id", "quantity", "unit_price", "date_order")
-    table = _table("legacy-lines", lines, ["odoo_id"], create=False)
-    table.upsert(lines.where(F.col("date_order") < F.lit(dt.date(1998, 1, 1))))
-    table.upsert(lines)
+    lines = ST.parked(lines)
+    table = _table("legacy-lines", lines, ["odoo_id"], create=False, size=size)
+    table.upsert(lines.where(F.col("date_order") < F.lit(dt.date(1998, 1, 1))), written=True)
+    table.upsert(lines, written=True)
     return table.read()
 
 
@@ -174,7 +176,8 @@ def _synced_sales(spark, sf_dir):
     si = views(spark, sf_dir).sales_items
     begun = dt.date(2000, 10, 1)
     keys = ["salesinvoiceid", "items_product_sku"]
-    table = _table("sync-sales", U.dedup_keep_last(si.where(F.col("issueddate") <= F.lit(begun)), keys, ["docnumber"]), keys)
+    table = _table("sync-sales", si, keys, create=False, size=si.count())
+    table.upsert(si.where(F.col("issueddate") <= F.lit(begun)), order=["docnumber"], written=True)
     state = ST.SyncState(spark, _path(spark, "state"))
     state.set("sales_items", dt.datetime(begun.year, begun.month, begun.day))
     for as_of in (dt.date(2001, 2, 1), dt.date(2001, 2, 1), dt.date(2001, 5, 1), AS_OF):

@@ -1,5 +1,7 @@
 """Forecast kernels, search and nested cases (FIXTURES.md sections 6, 9, 12, 13)."""
 
+import datetime as dt
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -203,6 +205,16 @@ def test_sent_queries_stay_small(spark, monkeypatch):
     assert got["sku"] == ["S0001", "S0002", "S0003"] and got["q"] == [1, 1, 1]      # the second asks for more than there is
 
 
+def test_month_arrays_from_entries(spark):
+    rows = [("a", dt.date(2020, 1, 5), 2.0), ("a", dt.date(2020, 4, 1), 1.5), ("a", dt.date(2020, 4, 9), 1.0), ("b", dt.date(2021, 12, 1), 0.0001), ("b", dt.date(2022, 1, 1), 3.0),
+            ("b", None, 9.0), ("c", None, 9.0)]
+    sales = spark.createDataFrame(rows, "items_product_sku string, issueddate date, items_quantity double")
+    got = {r.sku: (r.y_u, r.n_months, r.n_zero, r.total_u) for r in T.sku_month_arrays(sales).collect()}
+    assert got == {"a": ([2000, 0, 0, 2500], 4, 2, 4500), "b": ([0, 3000], 2, 1, 3000)}
+    again = {r.sku: (r.n_months, r.n_zero, r.total_u) for r in T.series_stats(T.sku_month_arrays(sales).select("sku", "y_u")).collect()}
+    assert again == {k: v[1:] for k, v in got.items()}
+
+
 def test_message_direction_and_merge(spark):
     conv = spark.createDataFrame([(99, "user@example.com", 0, 1, 10), (99, "user@example.com", 1, 2, 20)],
                                  "cid long, email string, mtype int, mid long, t long")

@@ -122,3 +122,31 @@ def test_upsert_keeps_newer_target_rows(spark):
     assert sorted(map(tuple, out.collect())) == [(1, "new", 2), (2, "next", 2), (3, "first", 1)]
     again = U.upsert(out, source, ["id"], order=["write_date"])
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, out.collect()))
+
+
+def test_whole_rows_are_replaced_in_one_shuffle(spark):
+    rows = [(1, 5, "a"), (1, 3, "b"), (2, 1, "c"), (2, 1, "c"), (None, 9, "n"), (None, 9, "n"), (3, 7, "t")]
+    new = [(1, 5, "0"), (1, 4, "z"), (3, 6, "old"), (4, None, "x"), (4, 1, "y"), (None, 1, "skipped")]
+    target, source = (spark.createDataFrame(r, "k int, o int, v string") for r in (rows, new))
+    want = [(1, 5, "0"), (2, 1, "c"), (2, 1, "c"), (3, 7, "t"), (4, 1, "y"), (None, 9, "n"), (None, 9, "n")]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or 0, r[2])
+    out = U.upsert(target, source, ["k"], order=["o"])
+    assert sorted(map(tuple, out.collect()), key=key) == want
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1
+    plain = U.upsert(target, source, ["k"])
+    assert {tuple(r) for r in plain.where("k IN (1, 3, 4)").collect()} == {(1, 5, "0"), (3, 6, "old"), (4, 1, "y")}
+
+
+def test_large_tables_get_more_buckets_and_partitions(spark, monkeypatch):
+    from stockwise.operators import stored
+    from stockwise.sources import views as V
+
+    assert stored.buckets_for(10) == stored.BUCKETS and stored.buckets_for(216_000_000) == 864
+    assert V.spread_for(spark.range(1000)) == ()
+    monkeypatch.setattr(V, "TASK_ROWS", 10)
+    assert V.spread_for(spark.range(1000)) == (100,)
+    few = V.Views(spark, "/root/testdata/sf0.001").sales_items_plan
+    whole = few.collect()
+    monkeypatch.setattr(V, "TASK_ROWS", 10 ** 9)
+    assert sorted(map(str, whole)) == sorted(map(str, V.Views(spark, "/root/testdata/sf0.001").sales_items_plan.collect()))
