@@ -14,6 +14,7 @@ from stockwise.plans.registry import register
 from stockwise.session import shared_path
 from stockwise.sources import files as S
 from stockwise.sources import nested as NS
+from stockwise.sources.views import spread_for
 
 COLS = ", ".join(S.SALES_COLUMNS)
 
@@ -70,9 +71,10 @@ def s9_since(spark, sf_dir):
 @register("S10_relay_pages_json", oracle=D1_SQL)
 def s10_relay(spark, sf_dir):
     from stockwise.operators.nested import flatten_orders
-    orders = NS.order_documents(views(spark, sf_dir))
+    v = views(spark, sf_dir)
+    orders = NS.order_documents(v)
     path = _scratch(spark, "relay-pages")
-    S.write_relay_pages(orders, path)
+    S.write_relay_pages(orders, path, parts=spread_for(v.t.lineitem))
     node_schema = orders.schema["order"].dataType
     return flatten_orders(S.read_relay_pages(spark, path, node_schema))
 

@@ -93,16 +93,18 @@ def read_since(df: DataFrame, columns: list[str], condition, ts_col: str, since)
 
 
 # S10 ---------------------------------------------------------------------------
-def write_relay_pages(orders: DataFrame, path: str, page_size: int = 250) -> None:
+def write_relay_pages(orders: DataFrame, path: str, page_size: int = 250, parts: tuple[int, ...] = ()) -> None:
     """Orders as GraphQL-style pages {data:{orders:{edges:[{node}], pageInfo}}},
-    ``page_size`` orders per page (bounded arrays)."""
+    ``page_size`` orders per page (bounded arrays), in compressed files. ``parts``
+    (``views.spread_for``) is the number of partitions where the session's are too few."""
     oid = F.element_at(F.split("order.id", "/"), -1).cast("long")
-    pages = (orders.withColumn("page", (oid / page_size).cast("long"))
-             .groupBy("page").agg(F.collect_list(F.struct(F.col("order").alias("node"))).alias("edges")))
+    paged = orders.withColumn("page", (oid / page_size).cast("long"))
+    paged = paged.repartition(*parts, "page") if parts else paged
+    pages = (paged.groupBy("page").agg(F.collect_list(F.struct(F.col("order").alias("node"))).alias("edges")))
     doc = pages.select(F.struct(F.struct(F.struct(
         "edges", F.struct(F.lit(False).alias("hasNextPage"), F.col("page").cast("string").alias("endCursor"))
         .alias("pageInfo")).alias("orders")).alias("data")).alias("doc"))
-    doc.select(F.to_json("doc").alias("value")).write.mode("overwrite").text(path)
+    doc.select(F.to_json("doc").alias("value")).write.mode("overwrite").text(path, compression="gzip")
 
 
 def read_relay_pages(spark: SparkSession, path: str, node_schema: T.StructType) -> DataFrame:

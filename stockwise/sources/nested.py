@@ -12,28 +12,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockwise.sources.views import spread_for
+
 GID = "gid://shopify/"
 
 
 def _gid(kind: str, col) -> F.Column:
-    return F.concat(F.lit(f"{GID}{kind}/"), F.col(col).cast("string"))
+    return F.concat(F.lit(f"{GID}{kind}/"), (F.col(col) if isinstance(col, str) else col).cast("string"))
+
+
+def _edge(line) -> F.Column:
+    return F.struct(F.struct(
+        line["title"].alias("title"), line["quantity"].alias("quantity"), line["sku"].alias("sku"),
+        F.struct(_gid("ProductVariant", line["product_id"]).alias("id"),
+                 F.struct(_gid("Product", line["product_id"]).alias("id"), line["title"].alias("title"),
+                          line["product_type"].alias("productType")).alias("product")).alias("variant"),
+    ).alias("node"))
 
 
 def order_documents(v) -> DataFrame:
     """One nested order per sale order (orders without lines have no edges)."""
     p = v.product.select("product_id", "name", "sku", "product_type")
-    lines = v.sale_order_line.join(p, "product_id", "left").select(
-        "order_id", "line_no",
-        F.struct(F.struct(
-            F.col("name").alias("title"), F.col("qty").alias("quantity"), F.col("sku").alias("sku"),
-            F.struct(_gid("ProductVariant", "product_id").alias("id"),
-                     F.struct(_gid("Product", "product_id").alias("id"), F.col("name").alias("title"),
-                              F.col("product_type").alias("productType")).alias("product")).alias("variant"),
-        ).alias("node")).alias("edge"))
-    per_order = lines.groupBy("order_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("line_no", "edge"))), lambda x: x["edge"]).alias("edges"))
+    # lines travel flat and become edges where their order is put together
+    lines = v.sale_order_line.join(p, "product_id", "left").select("order_id", F.struct(
+        "line_no", F.col("name").alias("title"), F.col("qty").alias("quantity"), "sku",
+        F.col("product_id").cast("string").alias("product_id"), "product_type").alias("line"))
+    parts = spread_for(v.t.lineitem)
+    lines = lines.repartition(*parts, "order_id") if parts else lines
+    per_order = lines.groupBy("order_id").agg(F.transform(F.array_sort(F.collect_list("line")), _edge).alias("edges"))
     cust = v.partner.select(F.col("partner_id"), F.col("email").alias("c_email"), F.col("name").alias("c_name"))
-    o = v.sale_order.join(per_order, "order_id", "left").join(cust, "partner_id", "left")
+    o = v.sale_order.join(cust, "partner_id", "left").join(per_order, "order_id", "left")
     draft = F.col("state") == "draft"
     return o.select(
         F.struct(
