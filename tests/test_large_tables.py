@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from stockwise.sources import files as S
 from stockwise.sources import nested as NS
@@ -26,6 +27,7 @@ def tables(spark, tmp_path):
           "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string")
     write("customer", [(c, f"Customer#{c}", 1, 0.0, "BUILDING") for c in (1, 2)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
     write("supplier", [(s, f"Supplier#{s}", 1, 0.0) for s in (1, 2)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double")
+    write("nation", [(1, "CHILE")], "n_nationkey int, n_name string")
     write("part", [(p, f"part {p}", "Brand#1", "PROMO", p, 10.0 * p) for p in (1, 2, 3, 4)],
           "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
     write("embeddings", [(1, [0.5, 1.0])], "vec_id long, embedding array<float>")
@@ -66,3 +68,26 @@ def test_purchase_lines_are_dealt_by_rows(spark, tables, monkeypatch):
     lines = V.Views(spark, tables).t.lineitem.count()
     assert f", {lines}" in many._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
     assert plain and _rows(many) == plain
+
+
+def test_forecast_steps_deal_skus_by_rows_of_a_narrow_table(spark, tables):
+    from stockwise.operators import series as T
+    from stockwise.operators.profile import sku_profile
+
+    v = V.Views(spark, tables)
+    si = v.sales_series
+    assert tuple(si.columns) == V.SERIES_COLUMNS
+    assert _rows(si) == _rows(v.sales_items_plan.select(*V.SERIES_COLUMNS))
+    as_of = dt.date(2001, 6, 30)
+    si = si.withColumn("sales_channel", F.lit("Online"))
+    series = T.sku_month_arrays(T.forecast_sales(si, as_of))
+    wide = T.sku_month_arrays(T.forecast_sales(si, as_of, (31,)))
+    assert series.count() > 0 and _rows(wide) == _rows(series)
+    assert "RepartitionByExpression [sku" in wide._jdf.queryExecution().optimizedPlan().toString()
+    profile = sku_profile(si, as_of, (31,))
+    assert _rows(profile) == _rows(sku_profile(si, as_of))
+    assert "RepartitionByExpression [sku" in profile._jdf.queryExecution().optimizedPlan().toString()
+    # where the whole table is stored, it is not stored again
+    assert v.sales_items.count() == si.count()
+    again = V.Views(spark, tables).sales_series
+    assert again.inputFiles() and set(again.inputFiles()) == set(v.sales_items.inputFiles())
