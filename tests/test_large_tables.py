@@ -91,3 +91,12 @@ def test_forecast_steps_deal_skus_by_rows_of_a_narrow_table(spark, tables):
     assert v.sales_items.count() == si.count()
     again = V.Views(spark, tables).sales_series
     assert again.inputFiles() and set(again.inputFiles()) == set(v.sales_items.inputFiles())
+
+
+def test_stored_quants_are_dealt_by_rows(spark, tables, monkeypatch):
+    plan = V.Views(spark, tables).inventory_quant_plan
+    monkeypatch.setattr(V, "TASK_ROWS", 1)
+    stored = V.Views(spark, tables).inventory_quant
+    assert plan.count() > 4 and _rows(stored) == _rows(plan)
+    dealt = stored.select("product_id", F.input_file_name().alias("f")).distinct()
+    assert dealt.count() == dealt.select("product_id").distinct().count()      # a product is in one file
