@@ -98,5 +98,6 @@ def test_stored_quants_are_dealt_by_rows(spark, tables, monkeypatch):
     monkeypatch.setattr(V, "TASK_ROWS", 1)
     stored = V.Views(spark, tables).inventory_quant
     assert plan.count() > 4 and _rows(stored) == _rows(plan)
+    assert len(stored.inputFiles()) > 1
     dealt = stored.select("product_id", F.input_file_name().alias("f")).distinct()
     assert dealt.count() == dealt.select("product_id").distinct().count()      # a product is in one file
