@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stockwise.llm.common import stored
+from stockwise.llm.common import let_go, stored
 from stockwise.llm.components import connected_components
 from stockwise.llm.suffix_dedup import Prints, batches_of, mix
 
@@ -52,6 +52,7 @@ LEAF = 32               # points of a leaf
 FEW = 32                # sets of a routed shingle that are paired
 BLOCK = 2000            # sets that a task compares at once
 PIVOTS = 4
+SLICE = 1 << 19         # bytes of text hashed at once; a longer text alone
 SALT = 100_000          # rows of a routed shingle that one salt takes
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], U) | U(1)
 
@@ -109,11 +110,12 @@ def _profile(docs: DataFrame, width: int) -> DataFrame:
     size = 1 << RANGE_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go("powers")
         counts = np.zeros(1 << BUCKET_BITS, np.uint16)
         names = ["doc_id", "n", "f1", "f2", "bucket", "hits"]
         types = [pa.int64()] * 5 + [pa.binary()]
         for batch in batches:
-            for part, data, ends in batches_of(batch):
+            for part, data, ends in batches_of(batch, size=SLICE):
                 sets = shingle_sets(data, ends, width)
                 found, hits = np.unique(np.concatenate(sets) >> U(64 - BUCKET_BITS), return_counts=True)
                 counts[found] = np.minimum(counts[found].astype(np.int64) + hits, 65535)
@@ -151,10 +153,11 @@ def _routes(docs: DataFrame, width: int, num: int, den: int, sent) -> DataFrame:
     """(key, salt, f1, n) of the shingles that route a set; salt -1: not salted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go("powers")
         ranks, salts = sent.value
         seen: set[int] = set()      # copies inside the task
         for batch in batches:
-            for _, data, ends in batches_of(batch):
+            for _, data, ends in batches_of(batch, size=SLICE):
                 keys, names = [], []
                 for one in shingle_sets(data, ends, width):
                     n = len(one)
@@ -278,6 +281,7 @@ def _join_groups(rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
     sorted into tasks by grp."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go("powers")
         group, reps, labels, sets = None, [], [], []
 
         def done() -> list[tuple[int, int]]:
@@ -288,7 +292,7 @@ def _join_groups(rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
         for batch in batches:
             found: list[tuple[int, int]] = []
-            for part, data, ends in batches_of(batch):
+            for part, data, ends in batches_of(batch, size=SLICE):
                 for g, rep, label, one in zip(part.column("grp").to_pylist(), part.column("rep").to_pylist(),
                                               part.column("label").to_pylist(), shingle_sets(data, ends, width)):
                     if g != group:

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockwise.llm.chunks import ChunkTable, chunk_array, slices, text_bytes
+from stockwise.llm.common import kept, let_go
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, sequence_tokens long, sequence_cost double")
@@ -153,7 +154,7 @@ class ChunkEncoder:
         return flat, sizes
 
 
-_ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], ChunkEncoder] = kept("encoders")
 
 
 def encoder(path: str, added: bool = False) -> ChunkEncoder:
@@ -208,7 +209,7 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int
     which added tokens in a text count; else they are ordinary text."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()       # what an earlier operator's tasks left in this worker
+        let_go("encoders")      # what an earlier operator's tasks left in this worker
         enc, made = encoder(tokenizer_path, added), (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         block: list[tuple[int, int, int, np.ndarray]] = []     # doc, start of tail, tokens of doc, ids
         held = 0

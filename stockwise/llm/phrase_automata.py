@@ -98,6 +98,7 @@ class Runs:
 
     def narrow(self, at: np.ndarray) -> np.ndarray:
         if self.sum31 is None:
+            self.p = powers(len(self.hashes), narrow=True)
             self.sum31 = np.concatenate([np.zeros(1, U), np.cumsum(self.hashes % U(PRIME) * self.p["up31"][:len(self.hashes)] % U(PRIME), dtype=U)])
         return (self.sum31[at + self.width] - self.sum31[at]) % U(PRIME) * self.p["down31"][at] % U(PRIME)
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockwise.llm.common import stored, unused_name
+from stockwise.llm.common import let_go, stored, unused_name
 
 ROUNDS = 8
 # Titles before names, by the gender they tell.
@@ -253,6 +253,7 @@ def replaced(text: str, key: bytes, tweaks: dict[tuple[str, str], int]) -> tuple
 
 def _mapped(texts: DataFrame, fn: Callable[[str | None, list | None], list[tuple]], schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         names = [x.split()[0] for x in schema.split(", ")]
         for batch in batches:
             rows = [r for t in batch.column(0).to_pylist() if t for r in fn(t, None)]
@@ -353,6 +354,7 @@ def replace_pii(docs: DataFrame, key: str, text_col: str = "text", check: bool =
     place = [f.name for f in schema.fields].index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             texts, counts, types = [], [], []
             for text, tw in zip(batch.column(text_col).to_pylist(), batch.column(tw_col).to_pylist()):

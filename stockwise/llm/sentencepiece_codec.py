@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockwise.llm.chunks import ChunkTable, chunk_array, ragged, slices, text_bytes
+from stockwise.llm.common import kept, let_go
 from stockwise.llm.suffix_dedup import Prints
 
 U = np.uint64
@@ -176,7 +177,7 @@ class Codec:
         return pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(cuts), pa.py_buffer(raw[keep]))
 
 
-_CODECS: dict[str, Codec] = {}
+_CODECS: dict[str, Codec] = kept("codecs")
 
 
 def codec(path: str) -> Codec:
@@ -190,6 +191,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     instead, where ids were decoded again and compared with the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go("codecs", "powers")
         c = codec(model_path)
         for batch in batches:
             texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
@@ -215,6 +217,7 @@ def decode(coded: DataFrame, model_path: str) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); null ids give null text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go("codecs", "powers")
         c = codec(model_path)
         for batch in batches:
             lists = batch.column(1)
