@@ -62,3 +62,20 @@ def test_last_rows_are_dealt_by_number(spark, sales):
     many = U.dedup_keep_last(sales, KEYS, ["docnumber"], (37,))
     assert len(whole) == len({(r.salesinvoiceid, r.items_product_sku) for r in sales.collect()}) and _rows(many) == whole
     assert "37" in many._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
+
+
+def test_years_are_written_without_a_shuffle(spark, sales, tmp_path, monkeypatch):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    conf = spark.conf.get(key)
+    for most in (32, 2):
+        before = _shuffles(spark)
+        monkeypatch.setattr(S, "OPEN_YEARS", most, raising=False)
+        out = f"{tmp_path}/years-{most}"
+        S.write_by_year(sales, out)
+        assert not _shuffles(spark) - before and spark.conf.get(key) == conf
+        assert _rows(spark.read.parquet(out).drop("year").select(*sales.columns)) == _rows(sales)
+        assert len([d for d in os.listdir(out) if d.startswith("year=")]) == 5
+        span = dt.date(1997, 3, 1), dt.date(1998, 9, 30)
+        got = S.read_years(spark, out, *span)
+        assert _rows(got.drop("year").select(*sales.columns)) == _rows(sales.where(F.col("issueddate").between(*span))) and got.count() > 0
+        assert "PartitionFilters: [isnotnull(year" in got._jdf.queryExecution().executedPlan().toString()
