@@ -79,3 +79,38 @@ def test_years_are_written_without_a_shuffle(spark, sales, tmp_path, monkeypatch
         got = S.read_years(spark, out, *span)
         assert _rows(got.drop("year").select(*sales.columns)) == _rows(sales.where(F.col("issueddate").between(*span))) and got.count() > 0
         assert "PartitionFilters: [isnotnull(year" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_an_upsert_merges_some_buckets_at_a_time(spark, sales, tmp_path, monkeypatch):
+    batches = shared_path(spark, "stored")
+    kept = lambda: {d for d in (os.listdir(_local(batches)) if os.path.isdir(_local(batches)) else []) if d.startswith("batch-")}
+    monkeypatch.setattr(ST, "BUCKETS_AT_ONCE", 3, raising=False)
+    old, new = sales.where("docnumber < '2'"), sales.where("docnumber >= '1' and total_total > 200")
+    with_null = new.unionByName(new.limit(1).withColumn("salesinvoiceid", F.lit(None).cast("string")))
+    want = _rows(U.upsert(U.dedup_keep_last(old, KEYS, ["docnumber"]), with_null, KEYS, order=["docnumber"]))
+    writes = []
+    write = ST.KeyedTable._write
+    monkeypatch.setattr(ST.KeyedTable, "_write", lambda self, df: (writes.append(1), write(self, df)))
+    parked = kept()
+    for size in (8, 40):
+        table = ST.KeyedTable(spark, f"{tmp_path}/t{size}", sales.schema, KEYS, buckets=size).create()
+        table.upsert(old, order=["docnumber"])
+        told = table.upsert(with_null, order=["docnumber"], counts=True).first()
+        assert told.total == len({(r.salesinvoiceid, r.items_product_sku) for r in new.collect()}) and told.updated > 0
+        table.upsert(with_null, order=["docnumber"])                # again: the same table
+        assert _rows(table.read()) == want
+        # columns that are left alone go another way
+        table.upsert(sales.where("docnumber = '3'").withColumn("note", F.lit("new")), order=["docnumber"], preserve=["items_quantity"])
+        assert table.read().count() == len({(r.salesinvoiceid, r.items_product_sku) for r in sales.where("docnumber < '2'").unionByName(new).unionByName(
+            sales.where("docnumber = '3'")).collect()}) and table.read().where("note = 'new'").count() > 0
+    assert len(writes) > 2 * 4
+    assert kept() == parked
+
+
+def test_written_tables_leave_no_shuffle_files(spark, sales, tmp_path):
+    before = _shuffles(spark)
+    table = ST.KeyedTable(spark, f"{tmp_path}/t", sales.schema, KEYS, buckets=8)
+    assert table.touched(sales.limit(0)) == []
+    table._write(table._dealt(table._bucketed(sales)))
+    assert _rows(ST.parked(sales.repartition(3, "note"))) == _rows(sales)
+    assert not _shuffles(spark) - before
