@@ -114,3 +114,15 @@ def test_written_tables_leave_no_shuffle_files(spark, sales, tmp_path):
     table._write(table._dealt(table._bucketed(sales)))
     assert _rows(ST.parked(sales.repartition(3, "note"))) == _rows(sales)
     assert not _shuffles(spark) - before
+
+
+def test_a_sync_keeps_no_batch(spark, sales, tmp_path):
+    folder = _local(shared_path(spark, "stored"))
+    kept = lambda: {d for d in (os.listdir(folder) if os.path.isdir(folder) else []) if d.startswith("batch-")}
+    parked = kept()
+    table = ST.KeyedTable(spark, f"{tmp_path}/t", sales.schema, KEYS, buckets=4).create()
+    state = ST.SyncState(spark, f"{tmp_path}/state")
+    state.set("sales", dt.datetime(1996, 1, 1))
+    assert ST.incremental_sync(sales, table, state, "sales", "issueddate", dt.datetime(2002, 1, 1), order=["docnumber"])
+    assert not ST.incremental_sync(sales, table, state, "sales", "issueddate", dt.datetime(1990, 1, 1))
+    assert _rows(table.read()) == _rows(U.dedup_keep_last(sales, KEYS, ["docnumber"])) and kept() == parked
