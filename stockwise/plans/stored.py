@@ -20,6 +20,7 @@ from stockwise.plans.forecast import PLAN, PY_PRIORITY, _capped, _plan, _plan_sq
 from stockwise.plans.registry import register
 from stockwise.plans.sync import DEDUP_LAST, LEGACY, PROD_TS, SALES_TS, SI_REST, _legacy_inputs, _prod_target_source, _sales_target_source
 from stockwise.session import cut_lineage, shared_path
+from stockwise.sources.views import spread_for
 
 
 def _path(spark, name):
@@ -137,9 +138,10 @@ SELECT -CAST(('0x' || substr(md5(salesinvoiceid), 1, 15)) AS BIGINT) AS odoo_id,
 FROM good GROUP BY salesinvoiceid""", extra_ctes=LEGACY)
 def u9_orders(spark, sf_dir):
     si, known = _legacy_inputs(views(spark, sf_dir))
-    whole = I.legacy_orders(si, known)
-    table = _table("legacy-orders", whole, ["odoo_id"], create=False)
-    table.upsert(I.legacy_orders(si.where(F.col("issueddate") < F.lit(dt.date(1998, 1, 1))), known))
+    parts, size = spread_for(si), si.count()
+    whole = I.legacy_orders(si, known, parts)
+    table = _table("legacy-orders", whole, ["odoo_id"], create=False, size=size // 4)
+    table.upsert(I.legacy_orders(si.where(F.col("issueddate") < F.lit(dt.date(1998, 1, 1))), known, parts))
     table.upsert(whole)
     return table.read()
 
@@ -154,7 +156,7 @@ JOIN (SELECT salesinvoiceid, max(issueddate) AS date_order FROM good GROUP BY 1)
 def u10_lines(spark, sf_dir):
     """Lines take their order's stored surrogate, so orders are stored first."""
     si, known = _legacy_inputs(views(spark, sf_dir))
-    good, size = ST.parked(I.good_lines(si, known)), si.count()      # for orders and lines
+    good, size = ST.parked(I.good_lines(si, known, spread_for(si))), si.count()      # for orders and lines
     orders = _table("orders", I.orders_of(good), ["odoo_id"], size=size // 4)
     lines = I.lines_of(good).join(
         orders.read().select(F.col("odoo_id").alias("order_odoo_id"), "date_order"), "order_odoo_id").select(

@@ -126,3 +126,16 @@ def test_a_sync_keeps_no_batch(spark, sales, tmp_path):
     assert ST.incremental_sync(sales, table, state, "sales", "issueddate", dt.datetime(2002, 1, 1), order=["docnumber"])
     assert not ST.incremental_sync(sales, table, state, "sales", "issueddate", dt.datetime(1990, 1, 1))
     assert _rows(table.read()) == _rows(U.dedup_keep_last(sales, KEYS, ["docnumber"])) and kept() == parked
+
+
+def test_legacy_lines_leave_the_whole_rows_shuffle_behind(spark, sales):
+    product = spark.createDataFrame([(f"SKU-{i}", i) for i in range(6)], "sku string, product_id long")
+    known = {r.salesinvoiceid for r in sales.collect()} - {r.salesinvoiceid for r in sales.where("items_product_sku = 'SKU-6'").collect()}
+    for parts in ((), (5,)):
+        before = _shuffles(spark)
+        lines, orders = I.legacy_lines(sales, product, parts), I.legacy_orders(sales, product, parts)
+        assert not _shuffles(spark) - before
+        assert {r.salesinvoiceid for r in orders.collect()} == known
+        want = U.dedup_keep_last(sales, KEYS, ["docnumber"]).where(F.col("salesinvoiceid").isin(list(known)))
+        assert sorted((r.product_id, r.quantity, r.unit_price) for r in lines.collect()) == sorted(
+            (int(r.items_product_sku[4:]), r.items_quantity, r.items_unitprice) for r in want.collect())
