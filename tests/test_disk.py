@@ -139,3 +139,21 @@ def test_legacy_lines_leave_the_whole_rows_shuffle_behind(spark, sales):
         want = U.dedup_keep_last(sales, KEYS, ["docnumber"]).where(F.col("salesinvoiceid").isin(list(known)))
         assert sorted((r.product_id, r.quantity, r.unit_price) for r in lines.collect()) == sorted(
             (int(r.items_product_sku[4:]), r.items_quantity, r.items_unitprice) for r in want.collect())
+
+
+def test_a_feed_is_written_without_a_shuffle(spark, sales, tmp_path):
+    from stockwise.plans import streams as P
+    from stockwise.streaming import streams as R
+
+    for parts in (1, 3, 60):
+        given, feed = f"{tmp_path}/given-{parts}", f"{tmp_path}/feed-{parts}"
+        sales.repartition(parts).write.parquet(given)
+        frame = reduce(DataFrame.unionByName, [spark.read.parquet(f) for f in _part_files(given)])      # a task a file
+        made = _shuffles(spark)
+        P._write_feed(frame, feed)
+        assert not _shuffles(spark) - made
+        assert 2 * R.MAX_FILES < len(_part_files(feed)) <= 2 * P.FEED_FILES
+        assert _rows(spark.read.parquet(feed)) == _rows(sales)
+    got = R.incremental_upsert(spark, f"{tmp_path}/feed-3", sales.schema, KEYS, ["docnumber"], f"{tmp_path}/table", f"{tmp_path}/checkpoint")
+    assert _rows(got) == _rows(U.dedup_keep_last(sales, KEYS, ["docnumber"]))
+    assert len(os.listdir(f"{tmp_path}/checkpoint/commits")) >= 3
