@@ -7,8 +7,10 @@ result is the link components.
 1. Equal sets become one (digest of the sorted set), so exact copies cost a row.
 2. *Routing.* Linked sets must share a shingle among their first
    ``n - ceil(t n) + 1`` in any order common to all. The order puts shingles of
-   hash buckets that a count sketch of fixed size finds frequent last, so shared
-   passages rarely route; the sketch only orders, it drops nothing. Routed
+   hash buckets that a count sketch finds frequent last, so shared passages rarely
+   route; the sketch only orders, it drops nothing. It has buckets in proportion to
+   the text: a full one finds nothing frequent, and shared passages would tie
+   documents to ever larger clusters. Only its frequent buckets leave the tasks. Routed
    shingles of few sets give pairs, kept if enough of them are common; those of
    many give stars. Every link lies inside a component of these edges (cluster).
 3. *Count-vector R-tree.* In a cluster, a set's shingles are hashed into 64
@@ -43,10 +45,14 @@ from pyspark.sql.window import Window
 from stockwise.llm.common import let_go, stored
 from stockwise.llm.components import connected_components
 from stockwise.llm.suffix_dedup import Prints, batches_of, mix
+from stockwise.session import shuffles_freed
 
 U = np.uint64
-BUCKET_BITS = 23        # of the count sketch that orders shingles: fixed size, whatever the input
+BUCKET_BITS = (23, 28)  # of the count sketch that orders shingles, fewest and most
+BUCKET_LOAD = 32        # shingles of a bucket on average, at most: else frequent ones do not stand out
+WORD_BYTES = 6          # of a shingle's text, to size the sketch
 RANGE_BITS = 16         # buckets of one row of the sketch
+COUNTED = 1 << 20       # shingles that a task holds before it sends their counts on
 GROUPS = (64, 1024)     # coordinates of a point, fewest and most
 LEAF = 32               # points of a leaf
 FEW = 32                # sets of a routed shingle that are paired
@@ -104,57 +110,96 @@ def _digest(one: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
 
 
-def _profile(docs: DataFrame, width: int) -> DataFrame:
-    """A row per text (id, n, f1, f2), and per task its counts of hash buckets, in
-    ranges of buckets (compressed: a task's counts are mostly 0 and 1)."""
-    size = 1 << RANGE_BITS
+def bits_for(rows: DataFrame) -> int:
+    """Of the sketch: buckets in proportion to the bytes of text."""
+    shingles = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / WORD_BYTES
+    return min(BUCKET_BITS[1], max(BUCKET_BITS[0], math.ceil(math.log2(max(1.0, shingles / BUCKET_LOAD)))))
+
+
+def _profile(docs: DataFrame, width: int, bits: int = BUCKET_BITS[0]) -> DataFrame:
+    """A row per text (id, n, f1, f2), and per some millions of a task's shingles their
+    counts by hash bucket, in ranges of buckets: places in the range and counts, compressed."""
+    names = ["doc_id", "n", "f1", "f2", "bucket", "hits"]
+    types = [pa.int64()] * 5 + [pa.binary()]
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        found, hits = np.unique(np.concatenate(held or [np.zeros(0, np.uint32)]), return_counts=True)
+        ranges, first = np.unique(found >> np.uint32(RANGE_BITS), return_index=True)
+        rows = []
+        for at, one in zip(np.split(found, first[1:]), np.split(hits, first[1:])):
+            if len(at):
+                steps = np.diff(at, prepend=at[0] >> np.uint32(RANGE_BITS) << np.uint32(RANGE_BITS)).astype(np.uint16)
+                rows.append(pa.compress(steps.tobytes() + one.astype(np.uint32).tobytes(), codec="zstd", asbytes=True))
+        blank = pa.nulls(len(rows), pa.int64())
+        sized = [len(x).to_bytes(4, "little") for x in np.split(found, first[1:]) if len(x)]
+        return pa.RecordBatch.from_arrays(
+            [blank] * 4 + [pa.array(ranges[:len(rows)].astype(np.int64), types[4]), pa.array([a + b for a, b in zip(sized, rows)], types[5])], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go("powers")
-        counts = np.zeros(1 << BUCKET_BITS, np.uint16)
-        names = ["doc_id", "n", "f1", "f2", "bucket", "hits"]
-        types = [pa.int64()] * 5 + [pa.binary()]
+        held: list[np.ndarray] = []
         for batch in batches:
             for part, data, ends in batches_of(batch, size=SLICE):
                 sets = shingle_sets(data, ends, width)
-                found, hits = np.unique(np.concatenate(sets) >> U(64 - BUCKET_BITS), return_counts=True)
-                counts[found] = np.minimum(counts[found].astype(np.int64) + hits, 65535)
+                held.append((np.concatenate(sets) >> U(64 - bits)).astype(np.uint32))
                 f = [_digest(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([x[0] for x in f], pa.int64()),
                      pa.array([x[1] for x in f], pa.int64()), pa.nulls(len(sets), types[4]), pa.nulls(len(sets), types[5])], names)
-        rows = [(r, pa.compress(one.tobytes(), codec="zstd", asbytes=True)) for r, one in enumerate(counts.reshape(-1, size)) if one.any()]
-        blank = pa.nulls(len(rows), pa.int64())
-        yield pa.RecordBatch.from_arrays([blank] * 4 + [pa.array([x[0] for x in rows], types[4]), pa.array([x[1] for x in rows], types[5])], names)
+                if sum(map(len, held)) >= COUNTED:
+                    yield counted(held)
+                    held = []
+        yield counted(held)
 
     return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, bucket long, hits binary")
 
 
-def _sketch(profile: DataFrame) -> np.ndarray:
-    """Counts of all buckets: 2^23 numbers at the driver, whatever the input."""
+def _sketch(profile: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent buckets, ascending, and their counts: ranges are summed in tasks,
+    of which only what stands out of its chance comes to the driver."""
     size = 1 << RANGE_BITS
+    mean = (profile.where("bucket is null").agg(F.sum("n")).first()[0] or 0) / (1 << bits)
+    least = max(8.0, mean + 4 * math.sqrt(mean))
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for r, hits in zip(batch.column("bucket").to_pylist(), batch.column("hits").to_pylist()):
-                one = np.frombuffer(pa.decompress(hits, decompressed_size=2 * size, codec="zstd", asbytes=True), np.uint16)
-                sums[r] = np.minimum(sums.get(r, 0) + one.astype(np.int64), (1 << 31) - 1)
-        out = [pa.compress(x.astype(np.int32).tobytes(), codec="zstd", asbytes=True) for x in sums.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(out, pa.binary())], ["bucket", "hits"])
-
-    counts = np.zeros((1 << BUCKET_BITS - RANGE_BITS, size), np.int32)
-    for r in profile.where("bucket is not null").select("bucket", "hits").repartition("bucket").mapInArrow(total, "bucket long, hits binary").collect():
-        counts[r.bucket] = np.frombuffer(pa.decompress(r.hits, decompressed_size=4 * size, codec="zstd", asbytes=True), np.int32)
-    return counts.ravel()
+        now, sums = -1, np.zeros(size, np.int64)
 
+        def done() -> pa.RecordBatch:
+            at = np.flatnonzero(sums > least)
+            return pa.RecordBatch.from_arrays([pa.array(now * size + at, pa.int64()), pa.array(sums[at], pa.int64())], ["bucket", "hits"])
 
-def _routes(docs: DataFrame, width: int, num: int, den: int, sent) -> DataFrame:
+        for batch in batches:
+            for r, hits in zip(batch.column("bucket").to_pylist(), batch.column("hits").to_pylist()):
+                if r != now:
+                    yield done()
+                    now, sums = r, np.zeros(size, np.int64)
+                n = int.from_bytes(hits[:4], "little")
+                raw = pa.decompress(hits[4:], decompressed_size=6 * n, codec="zstd", asbytes=True)
+                sums[np.cumsum(np.frombuffer(raw[:2 * n], np.uint16), dtype=np.int64)] += np.frombuffer(raw[2 * n:], np.uint32)
+        yield done()
+
+    ranges = profile.where("bucket is not null").select("bucket", "hits").repartition("bucket").sortWithinPartitions("bucket")
+    with shuffles_freed(profile.sparkSession):
+        found = ranges.mapInArrow(total, "bucket long, hits long").toArrow()
+    buckets, counts = (np.asarray(found.column(c).combine_chunks()) for c in ("bucket", "hits"))
+    order = np.argsort(buckets)
+    return buckets[order].astype(np.uint32), counts[order]
+
+
+def _at(buckets: np.ndarray, values: np.ndarray, asked: np.ndarray, other: int) -> np.ndarray:
+    """The value of each asked bucket, ``other`` for those not listed."""
+    if not len(buckets):
+        return np.full(len(asked), other, values.dtype)
+    at = np.minimum(np.searchsorted(buckets, asked), len(buckets) - 1)
+    return np.where(buckets[at] == asked, values[at], values.dtype.type(other))
+
+
+def _routes(docs: DataFrame, width: int, num: int, den: int, bits: int, sent) -> DataFrame:
     """(key, salt, f1, n) of the shingles that route a set; salt -1: not salted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go("powers")
-        ranks, salts = sent.value
+        frequent, ranks, hot, salts = sent.value
         seen: set[int] = set()      # copies inside the task
         for batch in batches:
             for _, data, ends in batches_of(batch, size=SLICE):
@@ -166,7 +211,7 @@ def _routes(docs: DataFrame, width: int, num: int, den: int, sent) -> DataFrame:
                         continue
                     seen.add(f1)
                     p = n - -(-num * n // den) + 1
-                    rank = ranks[(one >> U(64 - BUCKET_BITS)).astype(np.int64)]
+                    rank = _at(frequent, ranks, (one >> U(64 - bits)).astype(np.uint32), 0)
                     keys.append(one[np.argsort(rank, kind="stable")[:p]] if rank.any() else one[:p])
                     names.append((f1, p, n))
                 if not keys:
@@ -175,9 +220,7 @@ def _routes(docs: DataFrame, width: int, num: int, den: int, sent) -> DataFrame:
                 times = [x[1] for x in names]
                 f1 = np.repeat(np.array([x[0] for x in names], np.int64), times)
                 size = np.repeat(np.array([x[2] for x in names], np.int32), times)
-                bucket = (key >> U(64 - BUCKET_BITS)).astype(np.int64)
-                of = salts[np.searchsorted(salts[:, 0], bucket, "right") - 1] if len(salts) else None
-                of = np.where(of[:, 0] == bucket, of[:, 1], 1) if len(salts) else np.ones(len(key), np.int64)
+                of = _at(hot, salts, (key >> U(64 - bits)).astype(np.uint32), 1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(np.where(of > 1, f1 % of, -1).astype(np.int32)), pa.array(f1), pa.array(size)],
                     ["key", "salt", "f1", "n"])
@@ -320,19 +363,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     own = F.lit(NO_ID) + F.xxhash64(text).bitwiseAND(NO_ID - 1)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), own).alias("doc_id"), text.alias("text"))
-    profile = stored(_profile(rows, width), "profile")
+    bits = bits_for(rows)
+    profile = stored(_profile(rows, width, bits), "profile")
     texts = profile.where("bucket is null").select("doc_id", "n", "f1", "f2")
 
-    counts = _sketch(profile)
-    mean = counts.mean()
-    frequent = counts > max(8.0, mean + 4 * math.sqrt(mean))
-    ranks = np.where(frequent, np.ceil(np.log2(np.maximum(counts, 1))), 0).astype(np.int8)
-    hot = np.flatnonzero(counts > SALT)
-    salts = np.stack([hot, 1 + counts[hot] // SALT], 1).astype(np.int64)
-    sent = docs.sparkSession.sparkContext.broadcast((ranks, salts))
+    frequent, counts = _sketch(profile, bits)
+    hot = counts > SALT
+    salts = 1 + counts[hot] // SALT
+    sent = docs.sparkSession.sparkContext.broadcast((frequent, np.ceil(np.log2(counts)).astype(np.int8), frequent[hot], salts))
     sets = stored(texts.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep")), "sets")
 
-    clusters = connected_components(_candidates(_routes(rows, width, num, den, sent), len(salts) > 0, num, den))
+    clusters = connected_components(_candidates(_routes(rows, width, num, den, bits, sent), len(salts) > 0, num, den))
     members = stored(sets.join(clusters, sets.f1 == clusters.node).select(
         "rep", "n", F.col("component").alias("cluster"),
         F.floor(F.log(F.col("n") * 1.0) / F.lit(math.log(den / num) * (1 + 1e-9))).cast("int").alias("class")), "members")
