@@ -120,6 +120,12 @@ def _with(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, *columns.values()], [*batch.schema.names, *columns])
 
 
+def _nearest(unit: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Each row's nearest centroid, some rows at a time: the driver holds no row's
+    similarities for long."""
+    return np.concatenate([(unit[lo:lo + AT_ONCE] @ centres.T).argmax(axis=1) for lo in range(0, len(unit), AT_ONCE)])
+
+
 def fit_centres(catalogue: DataFrame, cells: int | None = None) -> np.ndarray:
     """Unit centroids, about the square root of the catalogue's size in number."""
     sample = catalogue.orderBy(F.xxhash64("sku"), "sku").limit(FIT_ROWS).select("vec", "norm").toArrow()
@@ -129,7 +135,7 @@ def fit_centres(catalogue: DataFrame, cells: int | None = None) -> np.ndarray:
     cells = cells or int(min(MAX_CELLS, max(1, np.sqrt(catalogue.count()))))
     centres = unit[np.linspace(0, len(unit) - 1, min(cells, len(unit))).astype(int)].copy()
     for _ in range(FIT_ROUNDS):
-        home = (unit @ centres.T).argmax(axis=1)
+        home = _nearest(unit, centres)
         total = np.zeros_like(centres)
         np.add.at(total, home, unit)
         size = np.linalg.norm(total, axis=1)

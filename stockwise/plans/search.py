@@ -65,16 +65,16 @@ def e1_exact(spark, sf_dir):
 
 @register("E2_similar_default_threshold", oracle=_sim_sql(CENTROIDS_SQL, 0.8))
 def e2_similar(spark, sf_dir):
-    return E.similar(centroid_queries(spark, sf_dir), views(spark, sf_dir).product)
+    return E.similar(centroid_queries(spark, sf_dir), views(spark, sf_dir).product_to_search)
 
 
 @register("E2_similar_threshold_0_3", oracle=_sim_sql(CENTROIDS_SQL, 0.3))
 def e2_similar_low(spark, sf_dir):
-    return E.similar(centroid_queries(spark, sf_dir), views(spark, sf_dir).product, threshold=0.3)
+    return E.similar(centroid_queries(spark, sf_dir), views(spark, sf_dir).product_to_search, threshold=0.3)
 
 
 def product_queries(spark, sf_dir):
-    p = views(spark, sf_dir).product
+    p = views(spark, sf_dir).product_to_search
     return p.where(F.col("embedding").isNotNull()).select(F.col("product_id").cast("long").alias("qid"), F.col("sku").alias("text"),
                                                           F.col("embedding").cast("array<double>").alias("vec"))
 
@@ -82,12 +82,12 @@ def product_queries(spark, sf_dir):
 @register("E2_similar_products", oracle=_sim_sql(PRODUCT_QUERIES_SQL, 0.8))
 def e2_similar_products(spark, sf_dir):
     """Every product asks for the products like it, at the default threshold."""
-    return E.similar(product_queries(spark, sf_dir), views(spark, sf_dir).product)
+    return E.similar(product_queries(spark, sf_dir), views(spark, sf_dir).product_to_search)
 
 
 @register("E2_similar_products_threshold_0_3", oracle=_sim_sql(PRODUCT_QUERIES_SQL, 0.3))
 def e2_similar_products_low(spark, sf_dir):
-    return E.similar(product_queries(spark, sf_dir), views(spark, sf_dir).product, threshold=0.3)
+    return E.similar(product_queries(spark, sf_dir), views(spark, sf_dir).product_to_search, threshold=0.3)
 
 
 @register("E3_hybrid_search", oracle=f"""
@@ -104,24 +104,24 @@ def e3_hybrid(spark, sf_dir):
     q = (sku_queries(spark, sf_dir).unionByName(centroid_queries(spark, sf_dir))
          .unionByName(spark.range(1).select(F.lit(-1).cast("long").alias("qid"), F.lit("   ").alias("text"),
                                             F.lit(None).cast("array<double>").alias("vec"))))
-    return E.hybrid_search(q, views(spark, sf_dir).product, threshold=0.3)
+    return E.hybrid_search(q, views(spark, sf_dir).product_to_search, threshold=0.3)
 
 
 @register("E4_lsh_similar")
 def e4_lsh(spark, sf_dir):
-    return E.lsh_similar(centroid_queries(spark, sf_dir), views(spark, sf_dir).product, threshold=0.3)
+    return E.lsh_similar(centroid_queries(spark, sf_dir), views(spark, sf_dir).product_to_search, threshold=0.3)
 
 
 @register("E4_ivf_similar")
 def e4_ivf(spark, sf_dir):
     """These vectors hardly cluster, so that a low threshold needs 12 of 16 cells."""
-    return E.ivf_similar(product_queries(spark, sf_dir), views(spark, sf_dir).product, threshold=0.3, cells=16, probes=12)
+    return E.ivf_similar(product_queries(spark, sf_dir), views(spark, sf_dir).product_to_search, threshold=0.3, cells=16, probes=12)
 
 
 @register("E4_ivf_recall", oracle=f"SELECT count(*) AS n_exact, true AS recall_reached FROM ({_sim_sql(PRODUCT_QUERIES_SQL, 0.3)}) t")
 def e4_recall(spark, sf_dir):
     """Whether the approximate search finds at least nine of ten of the exact hits."""
-    exact = E.similar(product_queries(spark, sf_dir), views(spark, sf_dir).product, threshold=0.3).select("qid", "sku")
+    exact = E.similar(product_queries(spark, sf_dir), views(spark, sf_dir).product_to_search, threshold=0.3).select("qid", "sku")
     found = e4_ivf(spark, sf_dir).select("qid", "sku", F.lit(1).alias("hit"))
     return exact.join(found, ["qid", "sku"], "left").agg(
         F.count(F.lit(1)).alias("n_exact"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_reached"))
